@@ -9,14 +9,17 @@ UNKNOWN_KEY = -1
 SMALLEST_LONG = -(2**63)
 
 
-def surrogate_key(bk: SparkColumn) -> SparkColumn:
-    """Deterministic 64-bit key over a business key; never meets ``UNKNOWN_KEY``.
+def without_sign(number: SparkColumn) -> SparkColumn:
+    """Absolute value; the smallest LONG has no positive counterpart and stays as it is.
 
-    The smallest LONG has no positive counterpart and stays as it is: under ANSI
-    ``abs`` would fail on it.
+    Under ANSI, plain ``abs`` would fail on it.
     """
-    hashed = F.xxhash64(bk)
-    return F.when(hashed == SMALLEST_LONG, hashed).otherwise(F.abs(hashed))
+    return F.when(number == SMALLEST_LONG, number).otherwise(F.abs(number))
+
+
+def surrogate_key(bk: SparkColumn) -> SparkColumn:
+    """Deterministic 64-bit key over a business key; never meets ``UNKNOWN_KEY``."""
+    return without_sign(F.xxhash64(bk))
 
 
 def key_or_unknown(sk: SparkColumn) -> SparkColumn:

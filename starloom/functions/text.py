@@ -7,24 +7,24 @@ from pyspark.sql import functions as F
 
 from starloom.specs import Column
 
-# Blanks and control characters that the non-ANSI cast ignores at either
-# end, and the number texts it accepts (a decimal part is allowed and cut off).
-IGNORED_ENDS = r"^[\x00-\x20\x7F]+|[\x00-\x20\x7F]+$"
-NUMBER_TEXT = r"^([+-]?)([0-9]*)(\.[0-9]*)?$"
+# The blanks and control characters the non-ANSI cast ignores at either end,
+# and the texts it accepts beyond plain integers: a cut-off decimal part, or only that part.
+BLANKS = r"[\x00-\x20\x7F]*"
+WHOLE_AND_DECIMALS = rf"^{BLANKS}([+-]?[0-9]+)\.[0-9]*{BLANKS}$"
+ONLY_DECIMALS = rf"^{BLANKS}[+-]?\.[0-9]*{BLANKS}$"
 
 
 def legacy_int(col: SparkColumn) -> SparkColumn:
     """Text to INT with the results of Spark's non-ANSI cast, whatever the session's ANSI flag.
 
     ``'12.9'`` is 12, ``'.5'`` is 0, anything that is not a number or does not fit is NULL.
-    Plain integers take the first branch; the patterns only run on what is left.
+    Plain integers are settled by the first branch; the patterns only see what is left.
     """
-    text = F.regexp_replace(col, IGNORED_ENDS, "")
-    digits = F.regexp_extract(text, NUMBER_TEXT, 2)
-    whole = F.when(digits == "", F.lit("0")).otherwise(digits)
-    is_number = text.rlike(NUMBER_TEXT) & ~text.isin("", "+", "-")
-    cut = F.concat(F.regexp_extract(text, NUMBER_TEXT, 1), whole)
-    return F.coalesce(col.try_cast("int"), F.when(is_number, cut.try_cast("int")))
+    return F.coalesce(
+        col.try_cast("int"),
+        F.regexp_extract(col, WHOLE_AND_DECIMALS, 1).try_cast("int"),
+        F.when(col.rlike(ONLY_DECIMALS), 0),
+    )
 
 
 def clean_column(column: Column) -> SparkColumn:

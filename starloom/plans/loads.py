@@ -204,8 +204,7 @@ def build_fact(
     report = StepReport(star.fact_table, layout.fact, NO_DATA, rows_read=found, rows_written=0)
     if found == 0:
         return report
-    store = layout.dimensions(spark)
-    members = {d.name: store.side(d) for d in star.dimensions}
+    members = layout.dimensions(spark).sides(star.dimensions)
     fact = fact_rows(rows, star, members, run_ts, limit)
     # Broadcast lookups leave rows in the clean table's partitions; a shuffled one scatters them.
     scattered = not all(side.fits(limit) for side in members.values())
@@ -249,8 +248,7 @@ def full_load(
 
 def open_mart(spark: SparkSession, layout: Layout, limit: int = BROADCAST_BYTES) -> Mart:
     """The loaded star, ready for views and rankings."""
-    store = layout.dimensions(spark)
-    members = {d.name: store.side(d) for d in layout.star.dimensions}
+    members = layout.dimensions(spark).sides(layout.star.dimensions)
     return Mart(layout.star, layout.read_fact(spark), members, limit)
 
 

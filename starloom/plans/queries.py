@@ -234,7 +234,7 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _members(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         dim = ORDER_LINES.dimension(name)
-        return loaded(spark, sf_dir).dimensions(spark).side(dim).frame.select(dim.bk, *dim.attributes)
+        return loaded(spark, sf_dir).dimensions(spark).read(dim).select(dim.bk, *dim.attributes)
 
     return query
 
@@ -256,7 +256,7 @@ def _merged_customers(spark: SparkSession, sf_dir: str, null_safe: bool = True)
     store = DimensionStore(spark, new_folder(spark, "customers"))
     for source, moment in _customer_batches(spark, sf_dir):
         store.upsert(CUSTOMER, source, moment, null_safe)
-    return store, store.side(CUSTOMER).frame
+    return store, store.read(CUSTOMER)
 
 
 def scd1_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,7 +264,7 @@ def scd1_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = DimensionStore(spark, new_folder(spark, "customers"))
     source, moment = _customer_batches(spark, sf_dir)[0]
     store.upsert(CUSTOMER, source, moment)
-    return store.side(CUSTOMER).frame.select(CUSTOMER.bk, *CUSTOMER.attributes)
+    return store.read(CUSTOMER).select(CUSTOMER.bk, *CUSTOMER.attributes)
 
 
 def scd1_update(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,7 +306,7 @@ def scd1_null_key(spark: SparkSession, sf_dir: str, null_safe: bool) -> DataFram
 def scd1_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merging the same members again inserts and updates nothing."""
     store = DimensionStore(spark, new_folder(spark, "suppliers"))
-    members = latest_members(clean(raw_lines(spark, sf_dir), LINES), SUPPLIER, "period")
+    members = latest_members(loaded(spark, sf_dir).read_clean(spark), SUPPLIER, "period")
     for moment in (FIRST_RUN, SECOND_RUN):
         store.upsert(SUPPLIER, dimension_rows(members, SUPPLIER, at(moment)), at(moment))
     return store.log(SUPPLIER).select("version", "rows_source", "rows_inserted", "rows_updated", "rows_total")

@@ -7,6 +7,7 @@ that dies in between leaves the previous version current. One writer per dimensi
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
@@ -56,16 +57,29 @@ class DimensionStore:
     def last_commit(self, dim: Dimension) -> Row | None:
         return self.log(dim).orderBy(F.desc("version")).first()
 
+    def last_commits(self, dims: Sequence[Dimension]) -> dict[str, Row]:
+        """The last commit of each dimension, one row per dimension, in one job."""
+        logs = self.spark.read.schema(COMMIT_SCHEMA).parquet(*[self._log_path(d) for d in dims])
+        last = logs.groupBy("table_name").agg(F.max_by(F.struct("*"), "version").alias("last"))
+        return {row["table_name"]: row["last"] for row in last.collect()}
+
     def location(self, dim: Dimension) -> str:
         """Path of the current version."""
         return self.last_commit(dim)["path"] if self.fmt == "parquet" else f"{self.root}/{dim.name}"
 
-    def side(self, dim: Dimension) -> Side:
-        """The current version with its size, known from the commit without a job."""
+    def sides(self, dims: Sequence[Dimension]) -> dict[str, Side]:
+        """The current versions by name, with their sizes as known from the commits."""
         if self.fmt != "parquet":
-            return Side(read_table(self.spark, self.location(dim), dim.schema, self.fmt))
-        last = self.last_commit(dim)
-        return Side(read_table(self.spark, last["path"], dim.schema), last["bytes_total"])
+            return {d.name: Side(read_table(self.spark, self.location(d), d.schema, self.fmt)) for d in dims}
+        last = self.last_commits(dims)
+        return {
+            d.name: Side(read_table(self.spark, last[d.name]["path"], d.schema), last[d.name]["bytes_total"])
+            for d in dims
+        }
+
+    def read(self, dim: Dimension) -> DataFrame:
+        """The current version of one dimension."""
+        return self.sides([dim])[dim.name].frame
 
     def upsert(
         self, dim: Dimension, source: DataFrame, run_ts: Column | None = None, null_safe: bool = True
