@@ -7,23 +7,33 @@ from pyspark.sql import functions as F
 
 from starloom.specs import Column
 
-# The blanks and control characters the non-ANSI cast ignores at either end,
-# and the texts it accepts beyond plain integers: a cut-off decimal part, or only that part.
+# The blanks and control characters that casts to INT ignore at either end, and
+# the texts they accept: integers, and for the non-ANSI cast also a decimal part, or only that.
 BLANKS = r"[\x00-\x20\x7F]*"
-WHOLE_AND_DECIMALS = rf"^{BLANKS}([+-]?[0-9]+)\.[0-9]*{BLANKS}$"
+DIGITS = r"[+-]?0*[0-9]{1,10}"
+INTEGER = rf"^{BLANKS}{DIGITS}{BLANKS}$"
+WITH_DECIMALS = rf"^{BLANKS}({DIGITS})\.[0-9]*{BLANKS}$"
 ONLY_DECIMALS = rf"^{BLANKS}[+-]?\.[0-9]*{BLANKS}$"
 
 
+def plain_int(col: SparkColumn) -> SparkColumn:
+    """Text to INT; NULL for anything that is not an integer or does not fit.
+
+    The pattern keeps bad text away from ``try_cast``, which raises and catches an
+    exception for each: on a dirty column that is twenty times slower than the test.
+    """
+    return F.when(col.rlike(INTEGER), col.try_cast("int"))
+
+
 def legacy_int(col: SparkColumn) -> SparkColumn:
     """Text to INT with the results of Spark's non-ANSI cast, whatever the session's ANSI flag.
 
-    ``'12.9'`` is 12, ``'.5'`` is 0, anything that is not a number or does not fit is NULL.
-    Plain integers are settled by the first branch; the patterns only see what is left.
+    As ``plain_int``, but a decimal part is cut off: ``'12.9'`` is 12 and ``'.5'`` is 0.
     """
-    return F.coalesce(
-        col.try_cast("int"),
-        F.regexp_extract(col, WHOLE_AND_DECIMALS, 1).try_cast("int"),
-        F.when(col.rlike(ONLY_DECIMALS), 0),
+    return (
+        F.when(col.rlike(INTEGER), col.try_cast("int"))
+        .when(col.rlike(WITH_DECIMALS), F.regexp_extract(col, WITH_DECIMALS, 1).try_cast("int"))
+        .when(col.rlike(ONLY_DECIMALS), 0)
     )
 
 
@@ -32,7 +42,7 @@ def clean_column(column: Column) -> SparkColumn:
     raw = F.col(column.name)
     cleaned = {
         "text": lambda: F.trim(raw),
-        "int": lambda: raw.try_cast("int"),
+        "int": lambda: plain_int(raw),
         "legacy_int": lambda: legacy_int(raw),
         "date": lambda: raw.try_cast("date"),
     }[column.kind]()

@@ -50,15 +50,17 @@ def hot_keys(rows: DataFrame, key: str) -> list:
 def join_spread(rows: DataFrame, side: DataFrame, key: str, hot: list) -> DataFrame:
     """Shuffled left join in which no hot key and no NULL key meets in one task.
 
-    Rows with a hot key are spread over salts by the task that reads them, and only the
-    side's rows for those keys are copied once per salt. NULL keys match nothing and are
-    spread as well. A row meets exactly the side rows it would meet without salts. The
-    salt depends on the task alone, so a task that runs again sends its rows to the same
-    places.
+    Rows with a hot key get a salt, and only the side's rows for those keys are copied
+    once per salt. NULL keys match nothing and are salted too. A row meets exactly the
+    side rows it would meet without salts.
+
+    The salt mixes the row's content with the number of the task that reads it: different
+    rows of one task part, and so do copies of one row in different tasks. It does not
+    depend on row order, so a task that runs again sends its rows to the same places.
     """
-    task_salt = F.pmod(F.spark_partition_id(), F.lit(SALTS))
+    mixed = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.lit(SALTS)).cast("int")
     is_hot = F.col(key).isin(hot)
-    salted = rows.withColumn("_salt", F.when(F.col(key).isNull() | is_hot, task_salt).otherwise(F.lit(0)))
+    salted = rows.withColumn("_salt", F.when(F.col(key).isNull() | is_hot, mixed).otherwise(0))
     salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     copies = side.withColumn("_salt", F.explode(salts)).hint("merge")
     return salted.join(copies, [key, "_salt"], "left").drop("_salt")

@@ -33,9 +33,11 @@ def _needed(mart: Mart, columns: Sequence[str]) -> list[tuple[Dimension, list[st
 
 
 def _with_members(rows: DataFrame, mart: Mart, columns: Sequence[str]) -> DataFrame:
+    joined = rows
     for dim, taken in _needed(mart, columns):
-        rows = left_lookup(rows, mart.members[dim.name].select(dim.sk, *taken), dim.sk, limit=mart.limit)
-    return rows
+        side = mart.members[dim.name].select(dim.sk, *taken)
+        joined = left_lookup(joined, side, dim.sk, hot_from=rows, limit=mart.limit)
+    return joined
 
 
 def star_view(mart: Mart, columns: Sequence[str] | None = None) -> DataFrame:

@@ -196,8 +196,14 @@ def build_fact(
     run_ts: Column | None = None,
     periods: Sequence[str] | None = None,
     limit: int = BROADCAST_BYTES,
+    gather: bool | None = None,
 ) -> StepReport:
-    """Clean table and dimensions to the fact table."""
+    """Clean table and dimensions to the fact table.
+
+    Broadcast lookups leave rows in the clean table's partitions, so nothing is shuffled;
+    a shuffled lookup scatters them and they are gathered again. ``gather`` overrides
+    this, say to write fewer and larger files.
+    """
     star = layout.star
     rows = only_periods(layout.read_clean(spark), star.period, periods)
     found = rows.count()
@@ -206,11 +212,9 @@ def build_fact(
         return report
     members = layout.dimensions(spark).sides(star.dimensions)
     fact = fact_rows(rows, star, members, run_ts, limit)
-    # Broadcast lookups leave rows in the clean table's partitions; a shuffled one scatters them.
-    scattered = not all(side.fits(limit) for side in members.values())
-    written = overwrite_partitions(
-        fact, layout.fact, star.fact_schema, star.partition_by, layout.fmt, gather=scattered
-    )
+    if gather is None:
+        gather = not all(side.fits(limit) for side in members.values())
+    written = overwrite_partitions(fact, layout.fact, star.fact_schema, star.partition_by, layout.fmt, gather)
     return replace(
         report,
         status=SUCCESS,

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.functions import legacy_int, surrogate_key
+from starloom.functions import legacy_int, plain_int, surrogate_key
 from starloom.functions.keys import without_sign
 from starloom.operators.clean import clean
 from starloom.specs import Column, Source
@@ -9,7 +9,8 @@ from starloom.specs import Column, Source
 NUMBER_TEXTS = [
     "12", "12.5", " 12 ", "\t7\n", "", ".5", "-.5", "12.", "+", "-", ".", "+.", "+3", "-3.9", "1e2",
     "2147483647", "2147483648", "-2147483648", "-2147483649.9", "1,234", "0x1", "007", "1_0", "12.a",
-    "- 3", "1.2.3", "\x7f8\x7f", " 9", "n/a", None,
+    "- 3", "1.2.3", "0000000000000012", "-000000000000002147483648.0", "99999999999", "99999999999.5",
+    "1 2", "12\n", "\n12.5", "12\n.5", "١٢", "12\u00a0", "--1", "+-1", "1-", "12..", "\x0012\x01", "\x7f8\x7f", " 9", "n/a", None,
 ]
 
 
@@ -24,6 +25,12 @@ def test_legacy_int_agrees_with_the_non_ansi_cast(spark):
     assert got == want
 
 
+def test_plain_int_agrees_with_try_cast(spark):
+    texts = spark.createDataFrame([(t,) for t in NUMBER_TEXTS], "t string")
+    rows = texts.select("t", plain_int(F.col("t")).alias("got"), F.col("t").try_cast("int").alias("want"))
+    assert rows.where(~F.col("got").eqNullSafe(F.col("want"))).collect() == []
+
+
 def test_surrogate_key_values(spark):
     # 64-bit xxHash, seed 42, of the business keys, sign removed.
     known = {

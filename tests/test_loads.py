@@ -3,6 +3,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.__main__ import main
 from starloom.models import HEALTH_PLANS, ORDER_LINES
 from starloom.models.order_lines import LINES, raw_lines
 from starloom.operators.star import ranking, star_view
@@ -164,3 +165,12 @@ def test_invariants_over_the_order_tables(spark, tmp_path, tables):
         known = fact.where(F.col(dim.sk) != -1)
         assert known.join(frame, dim.sk, "left_anti").isEmpty()
     rows.unpersist()
+
+
+def test_command_line(spark, tmp_path, shards, capsys):
+    root = str(tmp_path / "wh")
+    main(["ingest", str(shards), root])
+    main(["transform", root, "--periods", "202508"])
+    main(["rank", root, "--by", "CD_OPERADORA", "--measure", "QT_BENEFICIARIO_ATIVO", "--limit", "1"])
+    shown = capsys.readouterr().out
+    assert "fato_beneficiario" in shown and "|006246      |15   |" in shown
