@@ -25,7 +25,8 @@ def fact_rows(
     included, becomes -1. With all dimensions under ``limit`` this is a map-only plan.
     """
     loaded = F.current_timestamp() if run_ts is None else run_ts
-    resolved = clean.select(*star.partition_by, *[d.bk for d in star.dimensions if d.bk not in star.partition_by], *star.measures)
+    codes = [d.bk for d in star.dimensions if d.bk not in star.partition_by]
+    resolved = clean.select(*star.partition_by, *codes, *star.measures)
     for dim in star.dimensions:
         side = members[dim.name].select(dim.bk, dim.sk)
         resolved = left_lookup(resolved, side, dim.bk, hot_from=clean, limit=limit)

@@ -160,7 +160,9 @@ def _step(name: str, read: str, written: str, inserted: str, updated: str, parti
 
 ALL_ROWS = "(SELECT count(*) FROM clean)"
 DIMENSION_KEYS = {"dim_supplier": "supp_cd", "dim_city": "city_cd", "dim_band": "band"}
-RUN_STEPS = [_step(n, ALL_ROWS, ALL_ROWS, "NULL", "NULL", "region,period") for n in ("raw_lines", "clean_lines", "fact_lines")]
+RUN_STEPS = [
+    _step(n, ALL_ROWS, ALL_ROWS, "NULL", "NULL", "region,period") for n in ("raw_lines", "clean_lines", "fact_lines")
+]
 RUN_STEPS += [
     _step(n, _rows("clean", k), _rows("clean", k), _rows("clean", k), "0", "") for n, k in DIMENSION_KEYS.items()
 ]

@@ -44,7 +44,7 @@ from starloom.plans.loads import (
 from starloom.sources.catalog import table_columns
 from starloom.sources.commits import DimensionStore
 from starloom.sources.delimited import read_shards, write_shards
-from starloom.sources.tables import SchemaMismatch, overwrite_partitions
+from starloom.sources.tables import SchemaMismatch
 from starloom.sources.workspace import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -13,7 +13,10 @@ from starloom.operators.lookup import (
 )
 from starloom.operators.star import Mart, ranking, star_view
 
-CLEAN = "region string, period string, supp_cd string, city_cd string, band string, qty_active int, qty_joined int, qty_left int"
+CLEAN = (
+    "region string, period string, supp_cd string, city_cd string, band string, "
+    "qty_active int, qty_joined int, qty_left int"
+)
 
 
 def dim_frame(spark, dim, rows):
