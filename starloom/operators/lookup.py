@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +12,7 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_FRACTION = 1000
-SALTS = 64
+PARTS_PER_PARTITION = 4
 FIXED_WIDTH = 16
 
 
@@ -40,14 +42,29 @@ class Side:
         return size <= limit
 
 
-def hot_keys(rows: DataFrame, key: str) -> list:
-    """Keys that hold more than 1/1000 of all rows: by that definition fewer than 1000."""
+def hot_keys(rows: DataFrame, key: str) -> dict[object, float]:
+    """Share of all rows per key, for keys with more than 1/1000: by that definition fewer than 1000."""
     total = rows.count()
     counted = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return [r[0] for r in counted.where(F.col("_n") * HOT_FRACTION > total).select(key).collect()]
+    hot = counted.where(F.col("_n") * HOT_FRACTION > total).select(key, "_n").collect()
+    return {k: n / total for k, n in hot}
 
 
-def join_spread(rows: DataFrame, side: DataFrame, key: str, hot: list) -> DataFrame:
+def salts_per_key(shares: Mapping[object, float], partitions: int) -> dict[int, list]:
+    """How many parts each hot key is cut into, as part count -> keys.
+
+    Enough parts that one is about a quarter of an average shuffle partition, rounded up to
+    a power of two so that there are few different counts. All parts together number at
+    most eight times the partitions, besides two per hot key.
+    """
+    counts: dict[int, list] = {}
+    for key, share in shares.items():
+        parts = 2 ** max(1, math.ceil(math.log2(PARTS_PER_PARTITION * share * partitions)))
+        counts.setdefault(parts, []).append(key)
+    return counts
+
+
+def join_spread(rows: DataFrame, side: DataFrame, key: str, shares: Mapping[object, float]) -> DataFrame:
     """Shuffled left join in which no hot key and no NULL key meets in one task.
 
     Rows with a hot key get a salt, and only the side's rows for those keys are copied
@@ -58,12 +75,17 @@ def join_spread(rows: DataFrame, side: DataFrame, key: str, hot: list) -> DataFr
     rows of one task part, and so do copies of one row in different tasks. It does not
     depend on row order, so a task that runs again sends its rows to the same places.
     """
-    mixed = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.lit(SALTS)).cast("int")
-    is_hot = F.col(key).isin(hot)
-    salted = rows.withColumn("_salt", F.when(F.col(key).isNull() | is_hot, mixed).otherwise(0))
-    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    copies = side.withColumn("_salt", F.explode(salts)).hint("merge")
-    return salted.join(copies, [key, "_salt"], "left").drop("_salt")
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = F.lit(1)
+    for count, keys in salts_per_key(shares, partitions).items():
+        parts = F.when(F.col(key).isin(keys), count).otherwise(parts)
+    mixed = F.xxhash64(*rows.columns, F.spark_partition_id())
+    own_parts = F.when(F.col(key).isNull(), PARTS_PER_PARTITION * partitions).otherwise(parts)
+    salted = rows.withColumn("_parts", own_parts).withColumn(
+        "_salt", F.when(F.col("_parts") > 1, F.pmod(mixed, F.col("_parts")).cast("int")).otherwise(0)
+    )
+    copies = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).hint("merge")
+    return salted.drop("_parts").join(copies, [key, "_salt"], "left").drop("_salt")
 
 
 def left_lookup(

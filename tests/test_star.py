@@ -4,12 +4,13 @@ from pyspark.sql import functions as F
 from starloom.models.order_lines import BAND, CITY, ORDER_LINES, SUPPLIER
 from starloom.operators.fact import fact_rows
 from starloom.operators.lookup import (
-    SALTS,
+    HOT_FRACTION,
     Side,
     hot_keys,
     join_spread,
     left_lookup,
     measured_bytes,
+    salts_per_key,
 )
 from starloom.operators.star import Mart, ranking, star_view
 
@@ -125,7 +126,19 @@ def side(spark):
 
 
 def test_hot_keys_are_found(skewed):
-    assert hot_keys(skewed, "k") == ["hot"]
+    assert hot_keys(skewed, "k") == {"hot": 1 / 3}
+    assert hot_keys(skewed.where("id < 0"), "k") == {}
+
+
+def test_parts_follow_the_share_and_the_cluster():
+    shares = {"third": 1 / 3, "tenth": 1 / 10, "least": 1 / HOT_FRACTION}
+    assert salts_per_key(shares, 8) == {16: ["third"], 4: ["tenth"], 2: ["least"]}
+    many = salts_per_key(shares, 20_000)
+    assert many == {32768: ["third"], 8192: ["tenth"], 128: ["least"]}
+    even = {k: 1 / HOT_FRACTION for k in range(HOT_FRACTION)}
+    for partitions in (8, 200, 20_000):
+        copies = sum(parts * len(keys) for parts, keys in salts_per_key(even, partitions).items())
+        assert copies <= 8 * partitions + 2 * HOT_FRACTION
 
 
 def test_spread_join_equals_plain_join(skewed, side):
@@ -141,7 +154,7 @@ def test_spread_join_leaves_no_task_with_the_hot_key(skewed, side, spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "32")
     try:
-        joined = join_spread(skewed, side, "k", ["hot"]).withColumn("task", F.spark_partition_id())
+        joined = join_spread(skewed, side, "k", {"hot": 1 / 3}).withColumn("task", F.spark_partition_id())
         largest = joined.groupBy("task").count().agg(F.max("count")).first()[0]
         plain = skewed.join(side.hint("merge"), "k", "left").withColumn("task", F.spark_partition_id())
         worst = plain.groupBy("task").count().agg(F.max("count")).first()[0]
@@ -150,7 +163,6 @@ def test_spread_join_leaves_no_task_with_the_hot_key(skewed, side, spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert worst >= 20_000
     assert largest < 10_000
-    assert SALTS > 16
 
 
 def test_small_side_is_broadcast_and_large_is_not(skewed, side):
