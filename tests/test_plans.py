@@ -86,8 +86,8 @@ def test_ranking_reads_one_key_and_the_measure(mart, plan):
     assert shuffles(text) == 2  # per-key sums, then sums per member
 
 
-def test_lines_are_shuffled_by_order_alone(spark, tables, plan):
-    """With small suppliers and parts, lines meet one shuffle on their way to raw rows."""
-    text = plan(raw_lines(spark, tables))
+def test_lines_are_shuffled_by_order_alone(spark, plan):
+    """While suppliers and parts are small enough to broadcast, lines meet one shuffle."""
+    text = plan(raw_lines(spark, "/root/testdata/sf0.1"))
     keys = re.findall(r"Arguments: hashpartitioning\((\w+)#", text)
     assert set(keys) == {"l_orderkey", "o_orderkey"}
