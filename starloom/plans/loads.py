@@ -167,8 +167,7 @@ def upsert_dimension(
     """
     members = latest_members(layout.read_clean(spark), dim, layout.star.period)
     source = dimension_rows(members, dim, run_ts)
-    store = layout.dimensions(spark)
-    commit = store.upsert(dim, source, run_ts, null_safe)
+    commit = layout.dimensions(spark).upsert(dim, source, run_ts, null_safe, known_unique=True)
     return StepReport(
         step=dim.name,
         target=commit["path"],

@@ -14,7 +14,14 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.dimensions import FROM_SOURCE, INSERTED, UPDATED, merge_statement, merge_type1
+from starloom.operators.dimensions import (
+    FROM_SOURCE,
+    INSERTED,
+    UPDATED,
+    merge_statement,
+    merge_type1,
+    require_unique,
+)
 from starloom.operators.lookup import Side, row_bytes
 from starloom.sources.tables import create_if_absent, read_table
 from starloom.specs import Dimension
@@ -82,9 +89,20 @@ class DimensionStore:
         return self.sides([dim])[dim.name].frame
 
     def upsert(
-        self, dim: Dimension, source: DataFrame, run_ts: Column | None = None, null_safe: bool = True
+        self,
+        dim: Dimension,
+        source: DataFrame,
+        run_ts: Column | None = None,
+        null_safe: bool = True,
+        known_unique: bool = False,
     ) -> Row:
-        """Merge ``source`` into the dimension, creating it if need be; return the commit."""
+        """Merge ``source`` into the dimension, creating it if need be; return the commit.
+
+        Fails without a commit when a business key repeats in ``source``; ``known_unique``
+        says that it cannot and spares the check.
+        """
+        if not known_unique:
+            source = require_unique(source, dim)
         if self.fmt != "parquet":
             return self._upsert_in_place(dim, source, null_safe)
         create_if_absent(self.spark, self._log_path(dim), COMMIT_SCHEMA)

@@ -44,8 +44,12 @@ def create_if_absent(
 
 
 def only_periods(rows: DataFrame, period: str, periods: Sequence[str] | None) -> DataFrame:
-    """Keep the given periods; on a table partitioned by period this prunes the scan."""
-    return rows if periods is None else rows.where(F.col(period).isin(list(periods)))
+    """Keep the given periods; on a table partitioned by period this prunes the scan.
+
+    Blanks around a raw period are ignored, as cleaning will remove them: a clean
+    partition must never be replaced by part of the raw rows that belong to it.
+    """
+    return rows if periods is None else rows.where(F.trim(F.col(period)).isin(list(periods)))
 
 
 def overwrite_partitions(

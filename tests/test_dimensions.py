@@ -133,7 +133,7 @@ def test_repeated_merge_source_is_refused_by_the_store(spark, tmp_path):
     store = DimensionStore(spark, str(tmp_path))
     twice = members(spark, [("a", "x"), ("a", "y")], FIRST)
     with pytest.raises(Exception, match="repeats in the merge source"):
-        store.upsert(DIM, require_unique(twice, DIM), F.lit(FIRST))
+        store.upsert(DIM, twice, F.lit(FIRST))
     assert store.last_commit(DIM) is None
 
 

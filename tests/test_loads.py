@@ -96,6 +96,25 @@ def test_plain_mode_adds_a_null_key_per_run(spark, tmp_path, shards):
     assert layout.read_fact(spark).where("SK_MUNICIPIO = -1").count() == 1
 
 
+def test_a_period_with_blanks_around_it_is_loaded_whole(spark, tmp_path):
+    shards, layout = tmp_path / "shards", Layout(str(tmp_path / "wh"), HEALTH_PLANS)
+    put(
+        shards,
+        "SP",
+        "202508",
+        line("202508", "1", "A", "SP", "10", "X", "b", "1"),
+        line(" 202508 ", "1", "A", " SP", "10", "X", "b", "2"),
+        line("202509", "1", "A", "SP", "10", "X", "b", "4"),
+    )
+    ingest(spark, layout, str(shards))
+    for periods in (None, ["202508"]):
+        transform(spark, layout, periods=periods)
+        rows = layout.read_fact(spark).collect()
+        assert sorted((r["ID_CMPT_MOVEL"], r["SG_UF"], r["QT_BENEFICIARIO_ATIVO"]) for r in rows) == [
+            ("202508", "SP", 1), ("202508", "SP", 2), ("202509", "SP", 4)
+        ]
+
+
 def test_missing_shards_stop_the_load(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         ingest(spark, Layout(str(tmp_path / "wh"), HEALTH_PLANS), str(tmp_path))
