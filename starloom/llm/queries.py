@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starloom.llm.decontaminate import op3_benchmark_decontamination
+from starloom.llm.jaccard import op4_ngram_jaccard_join
 from starloom.llm.quality import op6_quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
 }
 
