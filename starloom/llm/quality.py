@@ -25,15 +25,31 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import BLOCK_CHARS, U64, Words, blocks, mix, small_batches, table, written
+from starloom.llm.common import (
+    BLOCK_CHARS,
+    U64,
+    Words,
+    blocks,
+    groups,
+    mix,
+    parts,
+    runs,
+    signed,
+    small_batches,
+    table,
+    written,
+)
 
 ORDER = 5
 MIN_WORDS = 10
 MAX_REPEAT_PCT = 20
 WINDOW = 5
 WIDTH = 8.0
-#: N-grams and contexts that one pass over the documents broadcasts (24 bytes each).
+#: N-grams and contexts that one pass over the documents broadcasts (16 bytes each).
 SHARD_ROWS = 4_000_000
+#: Parts of the model that can be told apart by a place's context.
+SLICES = 64
+UNKNOWN = -20.0
 START, END = 2, 3  # code points that mark a word's ends
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -223,12 +239,31 @@ def discounted(grams: DataFrame) -> DataFrame:
     return shares.union(weights)
 
 
-def shard_of(n: int) -> F.Column:
-    """The shard of a model row: by the last two characters of its context; -1 is needed by all."""
+def slice_of() -> F.Column:
+    """The slice of a model row: by the last two characters of its context; -1 is needed by all."""
     known = F.when(F.col("kind") == 0, F.expr("substring(gram, 1, k - 1)")).otherwise(F.col("gram"))
     tail = F.right(known, F.lit(2))
     code = F.ascii(F.substring(tail, 1, 1)).cast("long") * 31 + F.ascii(F.substring(tail, 2, 1))
-    return F.when(F.length(tail) < 2, F.lit(-1)).otherwise(F.pmod(code, F.lit(n))).cast("int")
+    return F.when(F.length(tail) < 2, F.lit(-1)).otherwise(F.pmod(code, F.lit(SLICES))).cast("int")
+
+
+def interpolated(rows: DataFrame) -> DataFrame:
+    """The model as hashes: (slice, kind, hash, value), logarithms of probabilities and weights.
+
+    All that the n-grams of a slice interpolate with lies in the slice or in the few rows of
+    short contexts, which every slice gets and slice -1 holds once.
+    """
+    placed = rows.withColumn("own", slice_of())
+    everywhere = F.when(F.col("own") == -1, F.sequence(F.lit(-1), F.lit(SLICES - 1))).otherwise(F.array("own"))
+    dealt = placed.withColumn("slice", F.explode(everywhere)).repartition(parts(rows.sparkSession), "slice")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in groups(batches, ["slice"]):
+            at = runs(part, ["slice"])
+            for s, e in zip(at[:-1], at[1:], strict=True):
+                yield from _interpolate(part.slice(s, e - s))
+
+    return dealt.sortWithinPartitions("slice").mapInArrow(work, "slice int, kind int, lang string, hash bigint, value double")
 
 
 @dataclass
@@ -254,7 +289,7 @@ class Shard:
             w, known = _find(self.weight, gram_hash(flat, at[open_], k - 1, 1) ^ salt)
             if k > 1:
                 out[open_[known]] += w[known]
-        out[open_] += self.unknown.get(lang, -20.0)
+        out[open_] += self.unknown.get(lang, UNKNOWN)
         return out
 
 
@@ -270,8 +305,10 @@ def _find(arrays: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.n
     return values[at], hashes[at] == keys
 
 
-def load_shard(rows: pa.Table, number: int, n_shards: int) -> Shard:
-    """Interpolates the orders, lowest first: p_k(w | h) = share + weight(h) * p_(k-1)(w | shorter h)."""
+def _interpolate(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Lowest order first: p_k(w | h) = share + weight(h) * p_(k-1)(w | shorter h)."""
+    number = int(rows.column("slice")[0].as_py())
+    own_slice = rows.column("own").to_numpy() == number
     kind, order = rows.column("kind").to_numpy(), rows.column("k").to_numpy()
     grams, a = rows.column("gram").to_pylist(), rows.column("a").to_numpy()
     langs = np.array(rows.column("lang").to_pylist(), object)
@@ -279,41 +316,55 @@ def load_shard(rows: pa.Table, number: int, n_shards: int) -> Shard:
     salt = np.array([salts[x] for x in langs], U64)
 
     def hashed(chosen: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        text = "".join(grams[i] for i in chosen)
-        flat = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        return flat, np.arange(len(chosen)) * max(k, 1) + max(k, 1) - 1
-
-    wk, wv, unknown = [], [], {}
+        flat = np.frombuffer("".join(grams[i] for i in chosen).encode("utf-32-le", "surrogatepass"), np.uint32)
+        return flat, np.arange(len(chosen)) * k + k - 1
+
+    def batch(chosen: np.ndarray, what: int, keys: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+        mine = own_slice[chosen]
+        n = int(mine.sum())
+        names = pa.array(langs[chosen][mine].tolist(), pa.string())
+        cols = [pa.array([number] * n, pa.int32()), pa.array([what] * n, pa.int32()), names]
+        cols += [pa.array(signed(keys[mine])), pa.array(values[mine], pa.float64())]
+        return pa.record_batch(cols, ["slice", "kind", "lang", "hash", "value"])
+
+    wk, wv = [], []
+    unknown: dict[str, float] = {}
     for k in range(ORDER):
         chosen = np.flatnonzero((kind == 1) & (order == k))
-        if k == 0:
-            unknown = {langs[i]: float(np.log(max(a[i], 1e-9))) for i in chosen}
+        if not len(chosen):
             continue
-        if len(chosen):
-            flat, at = hashed(chosen, k)
-            wk.append(gram_hash(flat, at, k) ^ salt[chosen])
-            wv.append(np.log(np.maximum(a[chosen], 1e-9)))
-    weight = _sorted(wk, wv)
-    pk, pv = [], []
-    lower = _sorted([], [])
+        values = np.log(np.maximum(a[chosen], 1e-9))
+        if k == 0:  # below single characters: an even chance
+            unknown = dict(zip(langs[chosen].tolist(), values.tolist(), strict=True))
+            yield batch(chosen, 2, salt[chosen], values)
+            continue
+        flat, at = hashed(chosen, k)
+        wk.append(gram_hash(flat, at, k) ^ salt[chosen])
+        wv.append(values)
+        yield batch(chosen, 1, wk[-1], values)
+    weight, lower = _sorted(wk, wv), _sorted([], [])
     for k in range(1, ORDER + 1):
         chosen = np.flatnonzero((kind == 0) & (order == k))
         if not len(chosen):
             continue
         flat, at = hashed(chosen, k)
-        own = salt[chosen]
         if k == 1:
-            low = np.exp([unknown.get(x, -20.0) for x in langs[chosen]])
-            p = a[chosen] + low
+            p = a[chosen] + np.exp([unknown.get(x, UNKNOWN) for x in langs[chosen]])
         else:
-            low, there = _find(lower, gram_hash(flat, at, k - 1) ^ own)
-            w, weighed = _find(weight, gram_hash(flat, at, k - 1, 1) ^ own)
+            low, there = _find(lower, gram_hash(flat, at, k - 1) ^ salt[chosen])
+            w, weighed = _find(weight, gram_hash(flat, at, k - 1, 1) ^ salt[chosen])
             p = a[chosen] + np.where(there & weighed, np.exp(low + w), 0.0)
-        keys = gram_hash(flat, at, k) ^ own
-        pk.append(keys)
-        pv.append(np.log(np.maximum(p, 1e-12)))
-        lower = _sorted([keys], [pv[-1]])
-    return Shard(number, n_shards, _sorted(pk, pv), weight, unknown)
+        keys, values = gram_hash(flat, at, k) ^ salt[chosen], np.log(np.maximum(p, 1e-12))
+        yield batch(chosen, 0, keys, values)
+        lower = _sorted([keys], [values])
+
+
+def load_shard(rows: pa.Table, number: int, n_shards: int) -> Shard:
+    kind, keys = rows.column("kind").to_numpy(), rows.column("hash").to_numpy().view(U64)
+    values = rows.column("value").to_numpy()
+    names = rows.filter(pa.array(kind == 2)).column("lang").to_pylist()
+    arrays = [_sorted([keys[kind == k]], [values[kind == k]]) for k in (0, 1)]
+    return Shard(number, n_shards, *arrays, dict(zip(names, values[kind == 2].tolist(), strict=True)))
 
 
 def _sorted(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -327,7 +378,7 @@ def _sorted(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarra
 def train(docs: DataFrame) -> DataFrame:
     """The model's rows, from all words of all texts of ``docs`` (lang, text)."""
     small_batches(docs.sparkSession)
-    return written(discounted(written(gram_counts(word_counts(docs)), "counts")), "model")
+    return written(interpolated(discounted(written(gram_counts(word_counts(docs)), "counts"))), "model")
 
 
 # --- scoring
@@ -347,11 +398,10 @@ def scored(docs: DataFrame, model: DataFrame, shard_rows: int = SHARD_ROWS) -> D
     spark = docs.sparkSession
     small_batches(spark)
     rows = model.count()
-    n = max(1, -(-rows // shard_rows))
-    model = model.withColumn("shard", shard_of(n))
+    n = min(SLICES, max(1, -(-rows // shard_rows)))
     passes = None
     for number in range(n):
-        own = model.where(F.col("shard").isin(number, -1)).drop("shard")
+        own = model.where((F.col("slice") == -1) | (F.col("slice") % n == number))
         shard = spark.sparkContext.broadcast(load_shard(own.toArrow(), number, n))
         one = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
         one = one.mapInArrow(lambda batches, shard=shard: _score(batches, shard.value), SCORES)
@@ -381,7 +431,7 @@ def _score(batches: Iterator[pa.RecordBatch], shard: Shard) -> Iterator[pa.Recor
             flat, places, number = _padded(words.chars, words.starts[at], words.ends[at])
             if shard.n_shards > 1:
                 code = flat[places - 2].astype(np.int64) * 31 + flat[places - 1]
-                mine = code % shard.n_shards == shard.number
+                mine = code % SLICES % shard.n_shards == shard.number
                 places, number = places[mine], number[mine]
             logs = shard.scores(lang, flat, places)
             each = [np.bincount(number, w, len(at)) for w in (np.ones(len(logs)), -logs, logs * logs)]
