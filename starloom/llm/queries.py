@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starloom.llm.byte_bpe import op10_byte_level_bpe
 from starloom.llm.decontaminate import op3_benchmark_decontamination
 from starloom.llm.jaccard import op4_ngram_jaccard_join
+from starloom.llm.pii import op5_pii_pseudonyms
 from starloom.llm.quality import op6_quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,7 +17,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_pii_pseudonyms": op5_pii_pseudonyms,
     "op6_quality_rules": op6_quality_rules,
+    "op10_byte_level_bpe": op10_byte_level_bpe,
 }
 
 ORACLE: dict[str, str] = {}
