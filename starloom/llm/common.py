@@ -59,7 +59,8 @@ def with_group(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataF
     hot_side = F.broadcast(hot.select(F.col(key).alias("_hk"), F.struct(*extra).alias("_hot")))
     cold_side = groups.select(F.col(key).alias("_ck"), F.struct(*extra).alias("_cold"))
     both = rows.join(hot_side, F.col(key) == F.col("_hk"), "left")
-    scattered = F.xxhash64(F.lit("scattered"), *[F.col(c) for c in rows.columns])
+    # any columns that differ among a key's rows will do; texts are not worth hashing
+    scattered = F.xxhash64(F.lit("scattered"), *[F.col(c) for c, t in rows.dtypes if t in ("bigint", "int")])
     kind = dict(groups.dtypes)[key]
     other = F.concat(F.lit("~"), scattered.cast("string")) if kind == "string" else scattered
     both = both.withColumn("_jk", F.when(F.col("_hot").isNull(), F.col(key)).otherwise(other))

@@ -110,7 +110,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, word, n) over all texts, summed inside each task before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in blocks(batches, "text", 4 * BLOCK_CHARS):
+        for rows in blocks(batches, "text", 2 * BLOCK_CHARS):
             langs = rows.column("lang").to_pylist()
             words = Words(rows.column("text").to_pylist())
             for lang in sorted(set(langs)):
@@ -210,12 +210,16 @@ def discounted(grams: DataFrame) -> DataFrame:
         whole = F.when(usable, value)  # with too few counts to tell, half a count per count
         return F.least(F.greatest(F.coalesce(whole, F.lit(i / 2)), F.lit(0.0)), F.lit(float(i))).alias(f"d{i}")
 
-    rates = levels.groupBy("lang", "k").agg(*n).select(
-        "lang",
-        "k",
-        discount(1, 1 - 2 * y * c2 / F.nullif(c1, F.lit(0.0))),
-        discount(2, 2 - 3 * y * c3 / F.nullif(c2, F.lit(0.0))),
-        discount(3, 3 - 4 * y * c4 / F.nullif(c3, F.lit(0.0))),
+    # five rows a language, written so that their size is known: the join with them is no shuffle on the language
+    rates = written(
+        levels.groupBy("lang", "k").agg(*n).select(
+            "lang",
+            "k",
+            discount(1, 1 - 2 * y * c2 / F.nullif(c1, F.lit(0.0))),
+            discount(2, 2 - 3 * y * c3 / F.nullif(c2, F.lit(0.0))),
+            discount(3, 3 - 4 * y * c4 / F.nullif(c3, F.lit(0.0))),
+        ),
+        "discounts",
     )
     adj = F.col("adj")
     taken = F.when(adj == 1, F.col("d1")).when(adj == 2, F.col("d2")).otherwise(F.col("d3"))
