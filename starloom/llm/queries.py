@@ -9,17 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from starloom.llm.byte_bpe import op10_byte_level_bpe
 from starloom.llm.decontaminate import op3_benchmark_decontamination
 from starloom.llm.jaccard import op4_ngram_jaccard_join
+from starloom.llm.passages import ORACLE_OP8, op8_line_dedup
 from starloom.llm.pii import op5_pii_pseudonyms
 from starloom.llm.quality import op6_quality_rules
+from starloom.llm.token_files import op7_token_id_files
+from starloom.llm.warc import ORACLE_OP2, op2_warc_salvage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op2_warc_salvage": op2_warc_salvage,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_pii_pseudonyms": op5_pii_pseudonyms,
     "op6_quality_rules": op6_quality_rules,
+    "op7_token_id_files": op7_token_id_files,
+    "op8_line_dedup": op8_line_dedup,
     "op10_byte_level_bpe": op10_byte_level_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_warc_salvage": ORACLE_OP2,
+    "op8_line_dedup": ORACLE_OP8,
+}
