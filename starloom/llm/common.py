@@ -46,12 +46,13 @@ def parts(spark: SparkSession) -> int:
 # --- joins against groups that were counted
 
 
-def with_group(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+def with_group(rows: DataFrame, groups: DataFrame, key: str, size: str, shuffled: bool = False) -> DataFrame:
     """``rows`` left-joined with ``groups`` (one row per key, ``size`` = its rows), hot keys apart.
 
     Keys with over a thousandth of all grouped rows are fewer than a thousand by definition,
     so broadcasting them is bounded. Their rows never meet in one shuffle partition: for the
-    shuffle join they take a scattered key that matches nothing.
+    shuffle join they take a scattered key that matches nothing. ``shuffled`` says that the
+    groups grow with the rows, so that no size of them is worth a broadcast.
     """
     total = groups.agg(F.sum(size)).first()[0] or 0
     extra = [c for c in groups.columns if c != key]
@@ -61,6 +62,7 @@ def with_group(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataF
     both = rows.join(hot_side, F.col(key) == F.col("_hk"), "left")
     # any columns that differ among a key's rows will do; texts are not worth hashing
     scattered = F.xxhash64(F.lit("scattered"), *[F.col(c) for c, t in rows.dtypes if t in ("bigint", "int")])
+    cold_side = cold_side.hint("merge") if shuffled else cold_side
     kind = dict(groups.dtypes)[key]
     other = F.concat(F.lit("~"), scattered.cast("string")) if kind == "string" else scattered
     both = both.withColumn("_jk", F.when(F.col("_hot").isNull(), F.col(key)).otherwise(other))

@@ -197,8 +197,8 @@ def candidate_edges(nodes: DataFrame, n_hashes: int, threshold: float, block: in
     least = excluded_below(n_hashes, threshold)
     held = nodes.select("node", F.explode("buckets").alias("bucket"))
     shared = written(held.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "buckets")
-    members = with_group(held, shared, "bucket", "m").where("m is not null")
-    members = members.join(nodes.select("node", "signature"), "node")
+    members = with_group(held, shared, "bucket", "m", shuffled=True).where("m is not null")
+    members = members.join(nodes.select("node", "signature").hint("merge"), "node")
     n_blocks = F.ceil(F.col("m") / block).cast("int")
     own = F.pmod(F.xxhash64("node", F.lit("block")), n_blocks).cast("int")
     spread = (
@@ -265,7 +265,8 @@ def verified(docs: DataFrame, families: DataFrame, threshold: float, block: int
     placed = with_group(families, sizes, "family", "m")
     placed = placed.withColumn("n_blocks", F.ceil(F.col("m") / block).cast("int"))
     placed = placed.withColumn("own", F.pmod(F.xxhash64("node", F.lit("place")), F.col("n_blocks")).cast("int"))
-    found = docs.select("doc_id", "text").join(placed.select("doc_id", "node", "family", "n_blocks", "own", "copies"), "doc_id")
+    needed = placed.select("doc_id", "node", "family", "n_blocks", "own", "copies").hint("merge")
+    found = docs.select("doc_id", "text").join(needed, "doc_id")
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in blocks(batches, "text"):
