@@ -15,6 +15,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from starloom.models import HEALTH_PLANS, ORDER_LINES
+from starloom.operators.lookup import BROADCAST_BYTES
 from starloom.operators.star import ranking
 from starloom.plans import Layout, full_load, ingest, open_mart, report_frame, transform
 
@@ -30,9 +31,15 @@ def arguments() -> argparse.ArgumentParser:
         sub = scopes.add_parser(scope)
         sub.add_argument("shards")
         sub.add_argument("root")
+        sub.add_argument("--gather", action="store_true", help="shards mix many partitions: shuffle them while ingesting")
     sub = scopes.add_parser("transform")
     sub.add_argument("root")
     sub.add_argument("--periods", nargs="*")
+    sub.add_argument("--gather", action="store_true", default=None, help="write fewer and larger fact files")
+    for scope in ("transform", "full"):
+        own = scopes.choices[scope]
+        own.add_argument("--limit-bytes", type=int, default=BROADCAST_BYTES, help="largest dimension to broadcast")
+        own.add_argument("--plain-nulls", action="store_true", help="plain SQL comparison in merges")
     sub = scopes.add_parser("rank")
     sub.add_argument("root")
     sub.add_argument("--by", nargs="+", required=True)
@@ -49,11 +56,15 @@ def main(argv: list[str] | None = None) -> None:
         ranking(open_mart(spark, layout), args.by, args.measure, limit=args.limit).show(truncate=False)
         return
     if args.scope == "ingest":
-        reports = [ingest(spark, layout, args.shards)]
+        reports = [ingest(spark, layout, args.shards, gather=args.gather)]
     elif args.scope == "transform":
-        reports = transform(spark, layout, periods=args.periods)
+        reports = transform(
+            spark, layout, periods=args.periods, null_safe=not args.plain_nulls, limit=args.limit_bytes, gather=args.gather
+        )
     else:
-        reports = full_load(spark, layout, args.shards)
+        reports = full_load(
+            spark, layout, args.shards, null_safe=not args.plain_nulls, limit=args.limit_bytes, gather=args.gather
+        )
     report_frame(spark, reports).drop("table_schema").show(truncate=False)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starloom.specs import Column, Dimension, Source, Star
+from starloom.specs import Column, Dimension, Layer, Source, Star
 
 # The public file's column names and order, the shard name pattern, and the
 # table and column names that existing queries over the star use.
@@ -38,18 +38,19 @@ BENEFICIARIES = Source(
     loaded_at="CRIADO_EM",
 )
 
-AUDIT = {"created_at": "CRIADO_EM", "updated_at": "ATUALIZADO_EM"}
+AUDIT = {"created_at": "CRIADO_EM", "updated_at": "ATUALIZADO_EM", "comments": BENEFICIARIES.comments}
 
 OPERATOR = Dimension(
     "dim_operadora",
     "SK_OPERADORA",
     "CD_OPERADORA",
     ("NM_RAZAO_SOCIAL", "NR_CNPJ", "MODALIDADE_OPERADORA"),
+    comment="Operators",
     **AUDIT,
 )
-MUNICIPALITY = Dimension("dim_municipio", "SK_MUNICIPIO", "CD_MUNICIPIO", ("NM_MUNICIPIO", "SG_UF"), **AUDIT)
+MUNICIPALITY = Dimension("dim_municipio", "SK_MUNICIPIO", "CD_MUNICIPIO", ("NM_MUNICIPIO", "SG_UF"), comment="Municipalities", **AUDIT)
 AGE_BAND = Dimension(
-    "dim_faixa_etaria", "SK_FAIXA_ETARIA", "DE_FAIXA_ETARIA", ("DE_FAIXA_ETARIA_REAJ",), **AUDIT
+    "dim_faixa_etaria", "SK_FAIXA_ETARIA", "DE_FAIXA_ETARIA", ("DE_FAIXA_ETARIA_REAJ",), comment="Age bands", **AUDIT
 )
 
 HEALTH_PLANS = Star(
@@ -60,3 +61,40 @@ HEALTH_PLANS = Star(
     period="ID_CMPT_MOVEL",
     view="star_beneficiario",
 )
+
+# The properties under which this star's three layers are registered.
+HEALTH_LAYERS = {
+    "bronze": Layer(
+        "Raw rows as delivered, all text",
+        {
+            "layer": "bronze",
+            "data_quality": "raw",
+            "created_date": "2026-03-26",
+            "sla": "near_realtime",
+            "retention_days": "30",
+            "pii_data": "yes",
+        },
+    ),
+    "silver": Layer(
+        "Clean typed rows",
+        {
+            "layer": "silver",
+            "data_quality": "cleaned_and_validated",
+            "created_date": "2026-03-26",
+            "sla": "daily",
+            "retention_days": "365",
+            "pii_data": "masked",
+        },
+    ),
+    "gold": Layer(
+        "Dimensions, fact and star view",
+        {
+            "layer": "gold",
+            "data_quality": "curated",
+            "created_date": "2026-03-26",
+            "sla": "daily",
+            "retention_days": "2555",
+            "pii_data": "no",
+        },
+    ),
+}

@@ -35,9 +35,9 @@ LINES = Source(
     clean_table="clean_lines",
 )
 
-SUPPLIER = Dimension("dim_supplier", "supplier_sk", "supp_cd", ("supp_name", "supp_tax_id", "supp_class"))
-CITY = Dimension("dim_city", "city_sk", "city_cd", ("city_name", "region"))
-BAND = Dimension("dim_band", "band_sk", "band", ("band_group",))
+SUPPLIER = Dimension("dim_supplier", "supplier_sk", "supp_cd", ("supp_name", "supp_tax_id", "supp_class"), comments=LINES.comments, comment="Suppliers")
+CITY = Dimension("dim_city", "city_sk", "city_cd", ("city_name", "region"), comments=LINES.comments, comment="Customer cities")
+BAND = Dimension("dim_band", "band_sk", "band", ("band_group",), comments=LINES.comments, comment="Part size bands")
 
 ORDER_LINES = Star(
     source=LINES,
@@ -70,7 +70,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def padded(col: SparkColumn, width: int) -> SparkColumn:
-    return F.lpad(col.cast("string"), width, "0")
+    """Leading zeros up to ``width`` digits; longer numbers stay whole (``lpad`` would cut them)."""
+    text = col.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

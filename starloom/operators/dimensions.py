@@ -14,17 +14,25 @@ from starloom.specs import Dimension
 INSERTED, UPDATED, FROM_SOURCE = "_inserted", "_updated", "_from_source"
 
 
+def distinct_members(rows: DataFrame, dim: Dimension, period: str) -> DataFrame:
+    """Every member as each period shows it, once.
+
+    The test on the count is always true; without it Catalyst drops the aggregate below
+    another one as redundant.
+    """
+    names = dict.fromkeys([dim.bk, *dim.attributes, period])
+    return rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 0").drop("_rows")
+
+
 def latest_members(rows: DataFrame, dim: Dimension, period: str) -> DataFrame:
     """One row per business key: the latest period wins, then the greatest attributes.
 
     Rows are first reduced to distinct members per period: a hash aggregate inside each
     scan task that cuts a key holding a third of all rows down to a few rows per task
     before anything is shuffled. Only those reach the maximum over structs, which Spark
-    can only compute by sorting. The test on the count is always true; without it
-    Catalyst drops the first aggregate as redundant and sorts every row of the table.
-    NULL is a key like any other here.
+    can only compute by sorting. NULL is a key like any other here.
     """
-    seen = rows.groupBy(dim.bk, *dim.attributes, period).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 0")
+    seen = distinct_members(rows, dim, period)
     best = F.max(F.struct(F.col(period).alias("_period"), *dim.attributes)).alias("_best")
     return seen.groupBy(dim.bk).agg(best).select(dim.bk, *[F.col(f"_best.{a}").alias(a) for a in dim.attributes])
 

@@ -29,13 +29,18 @@ def measured_bytes(frame: DataFrame) -> int:
 
 @dataclass(frozen=True)
 class Side:
-    """The small side of a lookup and its size; measured with one job when not known."""
+    """The small side of a lookup, its size, and the hot keys of the rows it is joined to.
+
+    ``hot`` holds shares by key column. What is not known is measured when a plan needs it,
+    with a job of its own.
+    """
 
     frame: DataFrame
     size: int | None = None
+    hot: Mapping[str, Mapping[object, float]] | None = None
 
     def select(self, *columns: str) -> Side:
-        return Side(self.frame.select(*columns), self.size)
+        return Side(self.frame.select(*columns), self.size, self.hot)
 
     def fits(self, limit: int) -> bool:
         size = measured_bytes(self.frame) if self.size is None else self.size
@@ -50,6 +55,14 @@ def hot_keys(rows: DataFrame, key: str) -> dict[object, float]:
     return {k: n / total for k, n in hot}
 
 
+def shares_of(rows: DataFrame, keys: Mapping[str, Column], total: int) -> DataFrame:
+    """(name, key, share) of every hot value of each named key, in one pass over ``rows``."""
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), c.alias("key")) for n, c in keys.items()]))
+    counted = rows.select(each.alias("k")).select("k.*").where("key is not null").groupBy("name", "key")
+    counted = counted.agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") * HOT_FRACTION > total)
+    return counted.select("name", "key", (F.col("_n") / F.lit(total)).alias("share"))
+
+
 def salts_per_key(shares: Mapping[object, float], partitions: int) -> dict[int, list]:
     """How many parts each hot key is cut into, as part count -> keys.
 
@@ -98,9 +111,13 @@ def left_lookup(
     """``rows`` left-joined to ``side`` on ``key``.
 
     A side of at most ``limit`` bytes is broadcast, so ``rows`` are not shuffled. A larger
-    one is joined by shuffle with hot keys spread; ``hot_from`` may name an equivalent,
-    cheaper frame to find the hot keys in, such as the stored table ``rows`` come from.
+    one is joined by shuffle with hot keys spread. Where the side does not know them,
+    ``hot_from`` may name an equivalent, cheaper frame to find them in, such as the stored
+    table ``rows`` come from.
     """
     if side.fits(limit):
         return rows.join(F.broadcast(side.frame), key, "left")
-    return join_spread(rows, side.frame, key, hot_keys(rows if hot_from is None else hot_from, key))
+    shares = None if side.hot is None else side.hot.get(key, {})
+    if shares is None:
+        shares = hot_keys(rows if hot_from is None else hot_from, key)
+    return join_spread(rows, side.frame, key, shares)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,10 +32,13 @@ def _needed(mart: Mart, columns: Sequence[str]) -> list[tuple[Dimension, list[st
     return [(mart.star.dimension(name), taken) for name, taken in wanted.items()]
 
 
-def _with_members(rows: DataFrame, mart: Mart, columns: Sequence[str]) -> DataFrame:
+def _with_members(rows: DataFrame, mart: Mart, columns: Sequence[str], summed: bool = False) -> DataFrame:
+    """``summed`` rows have few rows per key by construction: AQE is enough for what skew is left."""
     joined = rows
     for dim, taken in _needed(mart, columns):
         side = mart.members[dim.name].select(dim.sk, *taken)
+        if summed:
+            side = replace(side, hot={})
         joined = left_lookup(joined, side, dim.sk, hot_from=rows, limit=mart.limit)
     return joined
 
@@ -67,6 +70,6 @@ def ranking(
     dims = [dim for dim, _ in _needed(mart, by)]
     own = [c for c in by if mart.star.dimension_of(c) is None]
     per_key = mart.fact.groupBy(*own, *[d.sk for d in dims]).agg(F.sum(measure).alias("_part"))
-    totals = _with_members(per_key, mart, by).groupBy(*by).agg(F.sum("_part").alias(total))
+    totals = _with_members(per_key, mart, by, summed=True).groupBy(*by).agg(F.sum("_part").alias(total))
     ordered = totals.orderBy(F.desc_nulls_last(total), *[F.asc_nulls_last(c) for c in by])
     return ordered if limit is None else ordered.limit(limit)

@@ -3,56 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
 from starloom.plans.loads import Layout
 from starloom.sources.catalog import create_namespace, refresh_table, reset_table
-from starloom.specs import Star
+from starloom.specs import Layer, Star
 
 
-@dataclass(frozen=True)
-class Layer:
-    comment: str
-    properties: Mapping[str, str] = field(default_factory=dict)
-
-
-# The properties under which the three layers are registered.
 LAYERS = {
-    "bronze": Layer(
-        "Raw rows as delivered, all text",
-        {
-            "layer": "bronze",
-            "data_quality": "raw",
-            "created_date": "2026-03-26",
-            "sla": "near_realtime",
-            "retention_days": "30",
-            "pii_data": "yes",
-        },
-    ),
-    "silver": Layer(
-        "Clean typed rows",
-        {
-            "layer": "silver",
-            "data_quality": "cleaned_and_validated",
-            "created_date": "2026-03-26",
-            "sla": "daily",
-            "retention_days": "365",
-            "pii_data": "masked",
-        },
-    ),
-    "gold": Layer(
-        "Dimensions, fact and star view",
-        {
-            "layer": "gold",
-            "data_quality": "curated",
-            "created_date": "2026-03-26",
-            "sla": "daily",
-            "retention_days": "2555",
-            "pii_data": "no",
-        },
-    ),
+    "bronze": Layer("Raw rows as delivered, all text", {"layer": "bronze"}),
+    "silver": Layer("Clean typed rows", {"layer": "silver"}),
+    "gold": Layer("Dimensions, fact and star view", {"layer": "gold"}),
 }
 
 
@@ -78,14 +40,14 @@ def publish_catalog(
         create_namespace(spark, prefix + name, f"{layout.root}/{name}", layer.comment, layer.properties)
     store = layout.dimensions(spark)
     partitioned = {
-        f"{prefix}bronze.{source.raw_table}": (source.raw_schema, layout.raw),
-        f"{prefix}silver.{source.clean_table}": (source.clean_schema, layout.clean),
-        f"{prefix}gold.{star.fact_table}": (star.fact_schema, layout.fact),
+        f"{prefix}bronze.{source.raw_table}": (source.raw_schema, layout.raw, source.raw_comment),
+        f"{prefix}silver.{source.clean_table}": (source.clean_schema, layout.clean, source.clean_comment),
+        f"{prefix}gold.{star.fact_table}": (star.fact_schema, layout.fact, star.fact_comment),
     }
-    for name, (schema, path) in partitioned.items():
-        reset_table(spark, name, schema, path, star.partition_by, fmt=layout.fmt)
+    for name, (schema, path, comment) in partitioned.items():
+        reset_table(spark, name, schema, path, star.partition_by, comment, layout.fmt)
         refresh_table(spark, name, partitioned=layout.fmt == "parquet")
     for dim in star.dimensions:
         name = f"{prefix}gold.{dim.name}"
-        reset_table(spark, name, dim.schema, store.location(dim), fmt=layout.fmt)
+        reset_table(spark, name, dim.schema, store.location(dim), comment=dim.comment, fmt=layout.fmt)
     spark.sql(f"CREATE OR REPLACE VIEW {prefix}gold.{star.view} AS {star_view_sql(star, prefix + 'gold')}")

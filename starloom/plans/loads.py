@@ -7,24 +7,40 @@ dimensions are merged by key: running a step twice changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import astuple, dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from starloom.functions import surrogate_key
 from starloom.operators.clean import clean
-from starloom.operators.dimensions import dimension_rows, latest_members
+from starloom.operators.dimensions import dimension_rows, distinct_members, latest_members
 from starloom.operators.fact import fact_rows
-from starloom.operators.lookup import BROADCAST_BYTES
+from starloom.operators.lookup import BROADCAST_BYTES, Side, shares_of
 from starloom.operators.star import Mart, star_view
 from starloom.sources.commits import DimensionStore
-from starloom.sources.delimited import read_shards
-from starloom.sources.tables import create_if_absent, only_periods, overwrite_partitions, read_table
+from starloom.sources.delimited import list_shards, read_shards
+from starloom.sources.tables import (
+    create_if_absent,
+    only_periods,
+    overwrite_partitions,
+    read_table,
+    table_exists,
+)
 from starloom.specs import Dimension, Star
 
 SUCCESS, NO_DATA = "success", "no data"
+HOT_KEYS = T.StructType(
+    [
+        T.StructField("name", T.StringType()),
+        T.StructField("key", T.StringType()),
+        T.StructField("share", T.DoubleType()),
+        T.StructField("sk", T.LongType()),
+    ]
+)
 
 
 @dataclass(frozen=True)
@@ -47,6 +63,17 @@ class Layout:
     def fact(self) -> str:
         return f"{self.root}/gold/{self.star.fact_table}"
 
+    @property
+    def hot_keys(self) -> str:
+        return f"{self.root}/gold/{self.star.fact_table}_hot_keys"
+
+    def members(self, dim: Dimension) -> str:
+        return f"{self.root}/silver/members_{dim.name}"
+
+    def members_schema(self, dim: Dimension) -> T.StructType:
+        names = dict.fromkeys([dim.bk, *dim.attributes, self.star.period])
+        return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
     def read_raw(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.raw, self.star.source.raw_schema, self.fmt)
 
@@ -107,7 +134,6 @@ def land(rows: DataFrame, layout: Layout, run_ts: Column | None = None, gather:
         step=source.raw_table,
         target=layout.raw,
         status=SUCCESS,
-        rows_read=written,
         rows_written=written,
         partition_by=",".join(source.partition_by),
         table_schema=stamped.schema.simpleString(),
@@ -119,11 +145,12 @@ def ingest(
 ) -> StepReport:
     """Shards into the raw table, in one pass over the text.
 
-    A shard holds few partitions, so no shuffle is needed; ``gather=True`` is for shards
-    that mix many.
+    A shard that holds one partition needs no shuffle. ``gather=True`` is for shards that mix
+    many: without it every task would write a file for each partition it meets.
     """
     rows = read_shards(spark, layout.star.source, shards)
-    return replace(land(rows, layout, run_ts, gather), files_loaded=len(rows.inputFiles()))
+    files = list_shards(spark, layout.star.source, shards).count()
+    return replace(land(rows, layout, run_ts, gather), files_loaded=files)
 
 
 def clean_step(
@@ -153,19 +180,35 @@ def clean_step(
     )
 
 
+def refresh_members(
+    spark: SparkSession, layout: Layout, dim: Dimension, periods: Sequence[str] | None = None
+) -> DataFrame:
+    """The members table of one dimension: distinct members per period, ``periods`` of it renewed.
+
+    A table that does not exist yet is built from all periods.
+    """
+    path, schema, period = layout.members(dim), layout.members_schema(dim), layout.star.period
+    if periods is not None and not table_exists(spark, path, layout.fmt):
+        periods = None
+    seen = distinct_members(only_periods(layout.read_clean(spark), period, periods), dim, period)
+    overwrite_partitions(seen.select(*schema.names), path, schema, [period], layout.fmt, gather=True)
+    return read_table(spark, path, schema, layout.fmt)
+
+
 def upsert_dimension(
     spark: SparkSession,
     layout: Layout,
     dim: Dimension,
     run_ts: Column | None = None,
     null_safe: bool = True,
+    periods: Sequence[str] | None = None,
 ) -> StepReport:
-    """Merge the members found in the whole clean table into one dimension.
+    """Merge the members of all periods into one dimension, reading the clean rows of ``periods`` only.
 
-    All periods are read, a few columns of each, so that the latest one wins no matter in
-    which order periods are loaded.
+    The latest period wins no matter in which order periods are loaded: what each period says
+    of its members is kept in a table of its own, and a run renews the periods it loads there.
     """
-    members = latest_members(layout.read_clean(spark), dim, layout.star.period)
+    members = latest_members(refresh_members(spark, layout, dim, periods), dim, layout.star.period)
     source = dimension_rows(members, dim, run_ts)
     commit = layout.dimensions(spark).upsert(dim, source, run_ts, null_safe, known_unique=True)
     return StepReport(
@@ -181,12 +224,50 @@ def upsert_dimension(
 
 
 def upsert_dimensions(
-    spark: SparkSession, layout: Layout, run_ts: Column | None = None, null_safe: bool = True
+    spark: SparkSession,
+    layout: Layout,
+    run_ts: Column | None = None,
+    null_safe: bool = True,
+    periods: Sequence[str] | None = None,
 ) -> list[StepReport]:
     """All dimensions. They do not depend on one another, so their jobs share the cluster."""
     dims = layout.star.dimensions
+    if not dims:
+        return []
     with ThreadPoolExecutor(len(dims)) as pool:
-        return list(pool.map(lambda dim: upsert_dimension(spark, layout, dim, run_ts, null_safe), dims))
+        return list(pool.map(lambda dim: upsert_dimension(spark, layout, dim, run_ts, null_safe, periods), dims))
+
+
+def record_hot_keys(layout: Layout, rows: DataFrame, total: int) -> dict[str, dict[str, dict[object, float]]]:
+    """Which keys hold over 1/1000 of ``rows`` each, found in one pass and stored beside the fact.
+
+    By dimension, then by business and surrogate key. They only steer how joins are dealt out.
+    """
+    star = layout.star
+    if not star.dimensions:
+        return {}
+    found = shares_of(rows, {d.name: F.col(d.bk) for d in star.dimensions}, total)
+    hot = found.withColumn("sk", surrogate_key(F.col("key")))
+    hot.coalesce(1).write.mode("overwrite").format(layout.fmt).save(layout.hot_keys)
+    return known_hot_keys(rows.sparkSession, layout)
+
+
+def known_hot_keys(spark: SparkSession, layout: Layout) -> dict[str, dict[str, dict[object, float]]]:
+    """The stored hot keys: fewer than 1000 per dimension. Empty where no fact has been built yet."""
+    if not table_exists(spark, layout.hot_keys, layout.fmt):
+        return {}
+    out = {d.name: {d.bk: {}, d.sk: {}} for d in layout.star.dimensions}
+    for row in read_table(spark, layout.hot_keys, HOT_KEYS, layout.fmt).collect():
+        dim = layout.star.dimension(row["name"])
+        out[dim.name][dim.bk][row["key"]] = row["share"]
+        out[dim.name][dim.sk][row["sk"]] = row["share"]
+    return out
+
+
+def with_hot_keys(
+    members: Mapping[str, Side], hot: Mapping[str, Mapping[str, Mapping[object, float]]]
+) -> dict[str, Side]:
+    return {name: replace(side, hot=hot.get(name)) for name, side in members.items()}
 
 
 def build_fact(
@@ -209,7 +290,9 @@ def build_fact(
     report = StepReport(star.fact_table, layout.fact, NO_DATA, rows_read=found, rows_written=0)
     if found == 0:
         return report
-    members = layout.dimensions(spark).sides(star.dimensions)
+    members = with_hot_keys(
+        layout.dimensions(spark).sides(star.dimensions), record_hot_keys(layout, rows, found)
+    )
     fact = fact_rows(rows, star, members, run_ts, limit)
     if gather is None:
         gather = not all(side.fits(limit) for side in members.values())
@@ -229,29 +312,39 @@ def transform(
     run_ts: Column | None = None,
     periods: Sequence[str] | None = None,
     null_safe: bool = True,
+    limit: int = BROADCAST_BYTES,
+    gather: bool | None = None,
 ) -> list[StepReport]:
     """Raw table to clean table, dimensions and fact.
 
-    ``periods`` limits the clean and fact tables to those partitions. Keys are hashes of
-    business keys, so fact rows of other periods stay valid.
+    ``periods`` limits what is read of the raw and clean tables, and what is written, to those
+    partitions. Keys are hashes of business keys, so fact rows of other periods stay valid.
+    ``limit`` (bytes up to which a dimension is broadcast) and ``gather`` are ``build_fact``'s.
     """
     cleaned = clean_step(spark, layout, run_ts, periods)
     if cleaned.status == NO_DATA:
         return [cleaned]
-    dims = upsert_dimensions(spark, layout, run_ts, null_safe)
-    return [cleaned, *dims, build_fact(spark, layout, run_ts, periods)]
+    dims = upsert_dimensions(spark, layout, run_ts, null_safe, periods)
+    return [cleaned, *dims, build_fact(spark, layout, run_ts, periods, limit, gather)]
 
 
 def full_load(
-    spark: SparkSession, layout: Layout, shards: str, run_ts: Column | None = None, null_safe: bool = True
+    spark: SparkSession,
+    layout: Layout,
+    shards: str,
+    run_ts: Column | None = None,
+    null_safe: bool = True,
+    limit: int = BROADCAST_BYTES,
+    gather: bool = False,
 ) -> list[StepReport]:
-    """Everything: shards to fact."""
-    return [ingest(spark, layout, shards, run_ts), *transform(spark, layout, run_ts, None, null_safe)]
+    """Everything: shards to fact. ``gather=True`` is for shards that mix many partitions."""
+    loaded = ingest(spark, layout, shards, run_ts, gather)
+    return [loaded, *transform(spark, layout, run_ts, None, null_safe, limit)]
 
 
 def open_mart(spark: SparkSession, layout: Layout, limit: int = BROADCAST_BYTES) -> Mart:
     """The loaded star, ready for views and rankings."""
-    members = layout.dimensions(spark).sides(layout.star.dimensions)
+    members = with_hot_keys(layout.dimensions(spark).sides(layout.star.dimensions), known_hot_keys(spark, layout))
     return Mart(layout.star, layout.read_fact(spark), members, limit)
 
 

@@ -6,16 +6,23 @@ and every count are said again here in SQL.
 
 from __future__ import annotations
 
-RAW = """raw AS (
+
+def _padded(number: str, width: int) -> str:
+    """At least ``width`` digits; a plain lpad would cut longer numbers."""
+    text = f"CAST({number} AS VARCHAR)"
+    return f"lpad({text}, CAST(greatest(length({text}), {width}) AS INTEGER), '0')"
+
+
+RAW = f"""raw AS (
   SELECT CAST(year(l_shipdate) AS VARCHAR) AS period,
-    lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS supp_cd,
+    {_padded('l_suppkey', 6)} AS supp_cd,
     concat('  ', s_name, ' ') AS supp_name,
-    lpad(CAST(s_suppkey * 7919 AS VARCHAR), 14, '0') AS supp_tax_id,
+    {_padded('s_suppkey * 7919', 14)} AS supp_tax_id,
     concat(sn.n_name, CASE WHEN year(l_shipdate) < 1998 THEN '_OLD' ELSE '' END) AS supp_class,
     r_name AS region,
-    CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE lpad(CAST(cn.n_nationkey AS VARCHAR), 4, '0') END AS city_cd,
+    CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE {_padded('cn.n_nationkey', 4)} END AS city_cd,
     concat(' ', cn.n_name) AS city_name,
-    lpad(CAST(CAST(floor((p_size - 1) / 5) AS INTEGER) AS VARCHAR), 2, '0') AS band,
+    {_padded('CAST(floor((p_size - 1) / 5) AS INTEGER)', 2)} AS band,
     CAST(CAST(floor((p_size - 1) / 10) AS INTEGER) AS VARCHAR) AS band_group,
     CASE WHEN l_orderkey % 101 = 0 THEN 'n/a'
       ELSE concat(' ', CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)) END AS qty_active,
@@ -68,15 +75,15 @@ STAR = f"""{CLEAN}, {SUPPLIERS}, {CITIES}, {BANDS}, star AS (
   LEFT JOIN cities m ON c.city_cd = m.city_cd
   LEFT JOIN bands b ON c.band = b.band)"""
 
-HISTORY = """history AS (
+HISTORY = f"""history AS (
   SELECT CAST(year(o_orderdate) AS VARCHAR) AS period,
-    CASE WHEN o_orderkey % 97 <> 0 THEN concat(lpad(CAST(c_custkey AS VARCHAR), 9, '0'),
+    CASE WHEN o_orderkey % 97 <> 0 THEN concat({_padded('c_custkey', 9)},
       CASE WHEN c_custkey % 11 = 0 AND year(o_orderdate) >= 1998 THEN 'B' ELSE '' END) END AS cust_cd,
     c_name AS cust_name,
     CASE WHEN c_custkey % 10 = 0 THEN concat(c_mktsegment, '_', CAST(year(o_orderdate) AS VARCHAR))
       ELSE c_mktsegment END AS segment,
     CASE WHEN c_custkey % 7 <> 0 OR year(o_orderdate) >= 1998
-      THEN lpad(CAST(c_nationkey AS VARCHAR), 4, '0') END AS city_cd
+      THEN {_padded('c_nationkey', 4)} END AS city_cd
   FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
 CUSTOMER_ATTRIBUTES = ["cust_name", "segment", "city_cd"]
@@ -161,7 +168,8 @@ def _step(name: str, read: str, written: str, inserted: str, updated: str, parti
 ALL_ROWS = "(SELECT count(*) FROM clean)"
 DIMENSION_KEYS = {"dim_supplier": "supp_cd", "dim_city": "city_cd", "dim_band": "band"}
 RUN_STEPS = [
-    _step(n, ALL_ROWS, ALL_ROWS, "NULL", "NULL", "region,period") for n in ("raw_lines", "clean_lines", "fact_lines")
+    _step(n, read, ALL_ROWS, "NULL", "NULL", "region,period")
+    for n, read in (("raw_lines", "NULL"), ("clean_lines", ALL_ROWS), ("fact_lines", ALL_ROWS))
 ]
 RUN_STEPS += [
     _step(n, _rows("clean", k), _rows("clean", k), _rows("clean", k), "0", "") for n, k in DIMENSION_KEYS.items()
@@ -174,6 +182,15 @@ GUARDED = [
     for step in ("clean_lines", "fact_lines")
 ]
 
+
+
+def _late_codes() -> str:
+    """From 1998 on, codes that end in 3 are replaced by new ones."""
+    return ", ".join(
+        f"CASE WHEN period >= '1998' AND {c} LIKE '%3' THEN concat({c}, 'N') ELSE {c} END AS {c}" for c in ("supp_cd", "city_cd", "band")
+    )
+
+
 ORACLE: dict[str, str] = {
     "ingest_delimited": f"WITH {RAW} SELECT * FROM raw",
     "shard_rows": f"WITH {RAW} SELECT concat(region, '-', period) AS shard, count(*) AS n_rows FROM raw GROUP BY 1",
@@ -198,9 +215,9 @@ ORACLE: dict[str, str] = {
           count(*) FILTER (load_dt IS NULL) AS bad_dates FROM clean GROUP BY region""",
     "legacy_int_parse": """
         SELECT l_linenumber AS form, count(*) AS n_rows,
-          CASE WHEN l_linenumber <= 5 THEN count(*) ELSE 0 END AS n_read,
-          CAST(sum(CASE WHEN l_linenumber IN (1, 2, 5) THEN l_orderkey WHEN l_linenumber = 3 THEN -l_orderkey
-            WHEN l_linenumber = 4 THEN 0 END) AS BIGINT) AS total
+          count(*) FILTER (l_linenumber <= 5 AND (l_linenumber = 4 OR TRY_CAST(l_orderkey AS INTEGER) IS NOT NULL)) AS n_read,
+          CAST(sum(CASE WHEN l_linenumber IN (1, 2, 5) THEN TRY_CAST(l_orderkey AS INTEGER)
+            WHEN l_linenumber = 3 THEN -TRY_CAST(l_orderkey AS INTEGER) WHEN l_linenumber = 4 THEN 0 END) AS BIGINT) AS total
         FROM lineitem GROUP BY l_linenumber""",
     "surrogate_key": """
         WITH codes AS (
@@ -211,7 +228,7 @@ ORACLE: dict[str, str] = {
     "dim_supplier": f"WITH {CLEAN}, {SUPPLIERS} SELECT * FROM suppliers",
     "dim_city": f"WITH {CLEAN}, {CITIES} SELECT * FROM cities",
     "dim_band": f"WITH {CLEAN}, {BANDS} SELECT * FROM bands",
-    "scd1_initial": f"WITH {BATCHES} SELECT * FROM old",
+    "scd1_initial": f"WITH {HISTORY}, {_latest('members', 'history', 'cust_cd', CUSTOMER_ATTRIBUTES)} SELECT * FROM members",
     "scd1_update": f"""WITH {PAIRED}
         SELECT cust_cd, {_merged('changed_safe')}, CAST(is_new AS INTEGER) AS is_new,
           CAST(changed_safe AS INTEGER) AS was_updated FROM changes""",
@@ -256,9 +273,40 @@ ORACLE: dict[str, str] = {
         SELECT city_cd, city_name, region, CAST(sum(qty_active) AS BIGINT) AS total_active
         FROM star GROUP BY city_cd, city_name, region
         ORDER BY total_active DESC NULLS LAST, city_cd NULLS LAST, city_name NULLS LAST, region NULLS LAST""",
+    "city_ranking_large_dims": f"""WITH {STAR}
+        SELECT city_cd, city_name, region, CAST(sum(qty_active) AS BIGINT) AS total_active
+        FROM star GROUP BY city_cd, city_name, region
+        ORDER BY total_active DESC NULLS LAST, city_cd NULLS LAST, city_name NULLS LAST, region NULLS LAST""",
+    "top_suppliers_large_dims": f"""WITH {STAR}
+        SELECT supp_cd, supp_name, supp_class, CAST(sum(qty_active) AS BIGINT) AS total_active
+        FROM star GROUP BY supp_cd, supp_name, supp_class
+        ORDER BY total_active DESC NULLS LAST, supp_cd NULLS LAST, supp_name NULLS LAST, supp_class NULLS LAST
+        LIMIT 5""",
     "empty_input_guard": f"WITH {CLEAN} " + " UNION ALL ".join(GUARDED),
     "run_report": f"WITH {CLEAN} " + " UNION ALL ".join(RUN_STEPS),
     "full_load_twice": f"WITH {CLEAN} {REGION_TOTALS}",
+    "ingest_mixed_shards": f"WITH {RAW} SELECT region, period, count(*) AS n_rows FROM raw GROUP BY ALL",
+    "fact_late_members": f"""WITH {CLEAN}, coded AS (SELECT region, period < '1998' AS early, {_late_codes()} FROM clean),
+        known AS (SELECT * FROM coded WHERE early)
+        SELECT region, count(*) AS n_rows,
+          count(*) FILTER (supp_cd IS NULL OR supp_cd NOT IN (SELECT supp_cd FROM known WHERE supp_cd IS NOT NULL)) AS no_supp_cd,
+          count(*) FILTER (city_cd IS NULL OR city_cd NOT IN (SELECT city_cd FROM known WHERE city_cd IS NOT NULL)) AS no_city_cd,
+          count(*) FILTER (band IS NULL OR band NOT IN (SELECT band FROM known WHERE band IS NOT NULL)) AS no_band
+        FROM coded GROUP BY region""",
+    "reload_old_period": f"""WITH {CLEAN}, again AS (
+          SELECT * REPLACE (CASE WHEN period = '1995' THEN concat(supp_name, ' II') ELSE supp_name END AS supp_name) FROM clean),
+        {_latest("suppliers", "again", "supp_cd", ["supp_name", "supp_tax_id", "supp_class"])},
+        renamed AS (SELECT supp_cd, count(*) AS n FROM again WHERE supp_name LIKE '% II' GROUP BY supp_cd)
+        SELECT supp_cd, supp_name, supp_class, coalesce(n, 0) AS n_renamed FROM suppliers LEFT JOIN renamed USING (supp_cd)""",
+    "questions_in_sql": f"""WITH {STAR}, asked AS (
+          (SELECT 'suppliers' AS question, supp_cd AS who, CAST(sum(qty_active) AS BIGINT) AS total
+            FROM star GROUP BY supp_cd, supp_name, supp_class ORDER BY total DESC NULLS LAST, supp_cd NULLS LAST LIMIT 5)
+          UNION ALL
+          (SELECT 'band', band, CAST(sum(qty_active) AS BIGINT) AS total FROM star GROUP BY band
+            ORDER BY total DESC NULLS LAST, band NULLS LAST LIMIT 1)
+          UNION ALL
+          (SELECT 'cities', city_cd, CAST(sum(qty_active) AS BIGINT) FROM star GROUP BY city_cd, city_name, region))
+        SELECT * FROM asked""",
     "load_by_periods": f"""WITH {STAR}
         SELECT region, supp_class, CAST(sum(qty_active) AS BIGINT) AS total_active
         FROM star GROUP BY region, supp_class""",

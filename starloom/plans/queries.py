@@ -43,7 +43,7 @@ from starloom.plans.loads import (
 )
 from starloom.sources.catalog import table_columns
 from starloom.sources.commits import DimensionStore
-from starloom.sources.delimited import read_shards, write_shards
+from starloom.sources.delimited import read_shards, write_mixed_shards, write_shards
 from starloom.sources.tables import SchemaMismatch
 from starloom.sources.workspace import new_folder
 
@@ -260,10 +260,10 @@ def _merged_customers(spark: SparkSession, sf_dir: str, null_safe: bool = True)
 
 
 def scd1_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A merge into a dimension that does not exist yet."""
+    """A merge of all customers into a dimension that does not exist yet."""
     store = DimensionStore(spark, new_folder(spark, "customers"))
-    source, moment = _customer_batches(spark, sf_dir)[0]
-    store.upsert(CUSTOMER, source, moment)
+    members = latest_members(customer_history(spark, sf_dir), CUSTOMER, "period")
+    store.upsert(CUSTOMER, dimension_rows(members, CUSTOMER, at(FIRST_RUN)), at(FIRST_RUN))
     return store.read(CUSTOMER).select(CUSTOMER.bk, *CUSTOMER.attributes)
 
 
@@ -346,6 +346,22 @@ def fact_unknown_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged.groupBy("region").agg(F.count(F.lit(1)).alias("n_rows"), *[F.sum(n).alias(n) for n in names])
 
 
+def fact_late_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts whose codes came up only after the dimensions were loaded: unknown, though not NULL."""
+    layout, period = fresh(spark, "late"), F.col("period")
+    late = {c: F.when((period >= NEW_CODE_YEAR) & F.col(c).endswith("3"), F.concat(c, F.lit("N"))).otherwise(F.col(c))
+            for c in ("supp_cd", "city_cd", "band")}
+    rows = raw_lines(spark, sf_dir).withColumns(late)
+    land(rows.where(period < NEW_CODE_YEAR), layout)
+    transform(spark, layout)
+    land(rows.where(period >= NEW_CODE_YEAR), layout)
+    clean_step(spark, layout)
+    build_fact(spark, layout)
+    names = [f"no_{d.bk}" for d in ORDER_LINES.dimensions]
+    flagged = _fact_with_flags(layout.read_fact(spark))
+    return flagged.groupBy("region").agg(F.count(F.lit(1)).alias("n_rows"), *[F.sum(n).alias(n) for n in names])
+
+
 def star_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole star view."""
     return star_view(open_mart(spark, loaded(spark, sf_dir))).drop(LINES.loaded_at)
@@ -380,9 +396,62 @@ def city_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking(_mart(spark, sf_dir), ["city_cd", "city_name", "region"], "qty_active", "total_active")
 
 
+def top_suppliers_large_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same five with every dimension treated as too large to broadcast."""
+    mart = open_mart(spark, loaded(spark, sf_dir), limit=0)
+    return ranking(mart, ["supp_cd", "supp_name", "supp_class"], "qty_active", "total_active", limit=5)
+
+
+def city_ranking_large_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same ranking with every dimension treated as too large to broadcast."""
+    mart = open_mart(spark, loaded(spark, sf_dir), limit=0)
+    return ranking(mart, ["city_cd", "city_name", "region"], "qty_active", "total_active")
+
+
+def questions_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three rankings as SQL over the star view in the catalog."""
+    publish_catalog(spark, loaded(spark, sf_dir), prefix="lines_")
+    view = f"lines_gold.{ORDER_LINES.view}"
+    return spark.sql(
+        f"""SELECT * FROM (
+              (SELECT 'suppliers' AS question, supp_cd AS who, SUM(qty_active) AS total FROM {view}
+                 GROUP BY supp_cd, supp_name, supp_class ORDER BY total DESC NULLS LAST, supp_cd NULLS LAST LIMIT 5)
+              UNION ALL
+              (SELECT 'band', band, SUM(qty_active) AS total FROM {view}
+                 GROUP BY band ORDER BY total DESC NULLS LAST, band NULLS LAST LIMIT 1)
+              UNION ALL
+              SELECT 'cities', city_cd, SUM(qty_active) FROM {view} GROUP BY city_cd, city_name, region)"""
+    )
+
+
 # --- runs
 
 
+def ingest_mixed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards that each hold rows of all partitions, gathered while they are ingested."""
+    folder, layout = new_folder(spark, "mixed-shards"), fresh(spark, "mixed")
+    write_mixed_shards(raw_lines(spark, sf_dir), LINES, folder, 16)
+    ingest(spark, layout, folder, gather=True)
+    return layout.read_raw(spark).groupBy("region", "period").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def reload_old_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All periods loaded, then an old one delivered again with other names: later periods still win."""
+    layout = fresh(spark, "reload")
+    rows = raw_lines(spark, sf_dir)
+    land(rows, layout)
+    transform(spark, layout)
+    again = rows.where(F.col("period") == "1995")
+    land(again.withColumn("supp_name", F.concat(F.rtrim("supp_name"), F.lit(" II "))), layout)
+    transform(spark, layout, periods=["1995"])
+    renamed = layout.read_clean(spark).where(F.col("supp_name").endswith(" II"))
+    counts = renamed.groupBy("supp_cd").agg(F.count(F.lit(1)).alias("n"))
+    members = layout.dimensions(spark).read(SUPPLIER).select("supp_cd", "supp_name", "supp_class")
+    return members.join(counts, "supp_cd", "left").select(
+        "supp_cd", "supp_name", "supp_class", F.coalesce("n", F.lit(0)).alias("n_renamed")
+    )
+
+
 def empty_input_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Steps on empty tables report no data; on loaded ones they report success."""
     empty = fresh(spark, "empty")
@@ -457,13 +526,19 @@ QUERIES: dict[str, Query] = {
     "fact_rows": fact_lines,
     "fact_rows_large_dims": fact_lines_large_dims,
     "fact_unknown_members": fact_unknown_members,
+    "fact_late_members": fact_late_members,
     "star_view": star_rows,
     "star_view_large_dims": star_rows_large_dims,
     "top_suppliers": top_suppliers,
     "top_band": top_band,
     "city_ranking": city_ranking,
+    "top_suppliers_large_dims": top_suppliers_large_dims,
+    "city_ranking_large_dims": city_ranking_large_dims,
+    "questions_in_sql": questions_in_sql,
     "empty_input_guard": empty_input_guard,
     "run_report": run_report,
     "full_load_twice": full_load_twice,
+    "ingest_mixed_shards": ingest_mixed_shards,
+    "reload_old_period": reload_old_period,
     "load_by_periods": load_by_periods,
 }

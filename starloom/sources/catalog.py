@@ -39,7 +39,7 @@ def table_ddl(
         f"`{f.name}` {f.dataType.simpleString()} COMMENT {_quoted((f.metadata or {}).get('comment', ''))}"
         for f in schema.fields
     )
-    partitions = f"PARTITIONED BY ({', '.join(partition_by)}) " if partition_by else ""
+    partitions = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)}) " if partition_by else ""
     return (
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} {partitions}"
         f"LOCATION {_quoted(location)} COMMENT {_quoted(comment)}"

@@ -42,6 +42,10 @@ COMMIT_SCHEMA = T.StructType(
 )
 
 
+class SharedSurrogateKey(ValueError):
+    """Different business keys have the same surrogate key."""
+
+
 @dataclass(frozen=True)
 class DimensionStore:
     """Where the versions of all dimensions of one star live.
@@ -62,7 +66,7 @@ class DimensionStore:
         return read_table(self.spark, self._log_path(dim), COMMIT_SCHEMA)
 
     def last_commit(self, dim: Dimension) -> Row | None:
-        return self.log(dim).orderBy(F.desc("version")).first()
+        return self.log(dim).agg(F.max_by(F.struct("*"), "version").alias("last")).first()["last"]
 
     def last_commits(self, dims: Sequence[Dimension]) -> dict[str, Row]:
         """The last commit of each dimension, one row per dimension, in one job."""
@@ -127,12 +131,21 @@ class DimensionStore:
             .write.mode("overwrite")
             .parquet(path)
         )
-        return self._commit(dim, {"version": version, "operation": "MERGE", "path": path, **seen.get})
+        self._refuse_shared_keys(dim, path)
+        return self._commit(dim, {"version": version, "operation": "MERGE", "path": path, **seen.get}, run_ts)
+
+    def _refuse_shared_keys(self, dim: Dimension, path: str) -> None:
+        """Two business keys with one surrogate key would double facts in every join: no commit then."""
+        keys = read_table(self.spark, path, dim.schema).where(F.col(dim.bk).isNotNull())
+        shared = keys.groupBy(dim.sk).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(dim.sk).head(1)
+        if shared:
+            raise SharedSurrogateKey(f"{dim.name}: {dim.sk} {shared[0][0]} stands for several {dim.bk}")
 
-    def _commit(self, dim: Dimension, entry: dict) -> Row:
+    def _commit(self, dim: Dimension, entry: dict, run_ts: Column | None = None) -> Row:
         entry = {"table_name": dim.name, **entry}
+        now = F.current_timestamp() if run_ts is None else run_ts
         values = [
-            F.current_timestamp().alias(f.name)
+            now.cast("timestamp").alias(f.name)
             if f.name == "committed_at"
             else F.lit(entry[f.name]).cast(f.dataType).alias(f.name)
             for f in COMMIT_SCHEMA.fields

@@ -29,10 +29,19 @@ def read_shards(spark: SparkSession, source: Source, folder: str) -> DataFrame:
 
 
 def list_shards(spark: SparkSession, source: Source, folder: str) -> DataFrame:
-    """The matching shard files with size and age; file contents are not read."""
+    """The matching shard files with size and age; file contents are not read.
+
+    Raises FileNotFoundError when no shard matches.
+    """
+    pattern = f"{folder}/{source.shards}"
+    try:
+        files = spark.read.format("binaryFile").load(pattern)
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"no shard matches {pattern}") from missing
+        raise
     return (
-        spark.read.format("binaryFile")
-        .load(f"{folder}/{source.shards}")
+        files
         .select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified_at"))
     )
 
@@ -44,9 +53,18 @@ def write_shards(rows: DataFrame, source: Source, folder: str) -> None:
     partition's rows into few files and lets AQE split a partition that is too large.
     """
     shard = F.concat_ws("-", *[F.coalesce(F.col(c), F.lit("none")) for c in source.partition_by])
+    _write(rows.select(*source.file_schema.names, shard.alias("shard")), source, folder)
+
+
+def write_mixed_shards(rows: DataFrame, source: Source, folder: str, n: int) -> None:
+    """Lay rows out as ``n`` shards, each with rows of many partitions."""
+    texts = rows.select(*source.file_schema.names)
+    _write(texts.withColumn("shard", F.pmod(F.xxhash64(*texts.columns), F.lit(n)).cast("string")), source, folder)
+
+
+def _write(rows: DataFrame, source: Source, folder: str) -> None:
     (
-        rows.select(*source.file_schema.names, shard.alias("shard"))
-        .hint("rebalance", "shard")
+        rows.hint("rebalance", "shard")
         .write.format("csv")
         .options(header=True, sep=source.sep, quote=source.quote, escape=source.escape, encoding=source.encoding)
         .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +36,17 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.load(path).select(*schema.names)
 
 
+def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    """Whether a table has been written at ``path``."""
+    try:
+        spark.read.format(fmt).schema("_any string").load(path) if fmt == "parquet" else spark.read.format(fmt).load(path)
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "DELTA_TABLE_NOT_FOUND", "DELTA_MISSING_DELTA_TABLE"):
+            return False
+        raise
+    return True
+
+
 def create_if_absent(
     spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = (), fmt: str = "parquet"
 ) -> None:

@@ -7,6 +7,7 @@ adding code.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
@@ -50,11 +51,17 @@ class Source:
     raw_table: str
     clean_table: str
     loaded_at: str = "loaded_at"
+    raw_comment: str = "Rows as delivered, all text"
+    clean_comment: str = "Trimmed and typed rows"
     sep: str = ";"
     quote: str = '"'
     escape: str = "\\"
     encoding: str = "UTF-8"
 
+    @property
+    def comments(self) -> dict[str, str]:
+        return {c.name: c.comment for c in self.columns}
+
     @property
     def file_schema(self) -> T.StructType:
         return T.StructType([_field(c.name, T.StringType(), c.comment) for c in self.columns])
@@ -84,6 +91,15 @@ class Dimension:
     created_at: str = "created_at"
     updated_at: str = "updated_at"
     comments: dict[str, str] = field(default_factory=dict, hash=False)
+    comment: str = ""
+
+    def comment_of(self, column: str) -> str:
+        own = {
+            self.sk: f"Hash of {self.bk}",
+            self.created_at: "When the member was inserted",
+            self.updated_at: "When an attribute last changed",
+        }
+        return self.comments.get(column, own.get(column, ""))
 
     @property
     def columns(self) -> list[str]:
@@ -93,10 +109,18 @@ class Dimension:
     def schema(self) -> T.StructType:
         types = {self.sk: T.LongType(), self.created_at: T.TimestampType(), self.updated_at: T.TimestampType()}
         return T.StructType(
-            [_field(c, types.get(c, T.StringType()), self.comments.get(c, "")) for c in self.columns]
+            [_field(c, types.get(c, T.StringType()), self.comment_of(c)) for c in self.columns]
         )
 
 
+@dataclass(frozen=True)
+class Layer:
+    """Comment and properties of a namespace."""
+
+    comment: str
+    properties: Mapping[str, str] = field(default_factory=dict, hash=False)
+
+
 @dataclass(frozen=True)
 class Star:
     """A source, its dimensions, and the fact that ties them together."""
@@ -107,6 +131,7 @@ class Star:
     measures: tuple[str, ...]
     period: str
     view: str = "star"
+    fact_comment: str = "One row per clean row, with surrogate keys"
 
     @property
     def partition_by(self) -> tuple[str, ...]:
