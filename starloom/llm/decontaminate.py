@@ -270,7 +270,8 @@ def leaks(docs: DataFrame, items: DataFrame, **options: float) -> DataFrame:
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that hold no test item."""
     found = leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(written(found, "leaks"), docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    found = written(found, "leaks")
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]), "left_anti")
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,18 +80,17 @@ def without_repeats(docs: DataFrame, mark: str = LINE, min_words: int = MIN_WORD
     """
     span = F.struct("start", "end", "kept_doc_id")
     spans = repeats(docs, mark, min_words).groupBy("doc_id", "tie").agg(F.array_sort(F.collect_set(span)).alias("removed"))
-    spans = written(spans, "removed").withColumnsRenamed({"doc_id": "_id", "tie": "_tie"})
+    spans = written(spans, "removed")
     given = docs.drop("removed")
-    joined = given.withColumn("_t", F.xxhash64("text")).join(
-        spans, F.col("_t").eqNullSafe(F.col("_tie")) & given["doc_id"].eqNullSafe(F.col("_id")), "left"
+    joined = given.join(
+        spans, F.xxhash64(given["text"]).eqNullSafe(spans["tie"]) & given["doc_id"].eqNullSafe(spans["doc_id"]), "left"
     )
     starts = F.transform("removed", lambda s: s["start"])
-    shorter = _cut_out(mark)(F.col("text"), starts)
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(shorter)
+    shorter = _cut_out(mark)(given["text"], starts)
+    text = F.when(F.col("removed").isNull(), given["text"]).otherwise(shorter).alias("text")
     none = F.array().cast("array<struct<start:int,end:int,kept_doc_id:bigint>>")
-    return joined.withColumn("text", text).select(
-        *given.columns, F.coalesce("removed", none).alias("removed")
-    )
+    kept = [text if c == "text" else given[c] for c in given.columns]
+    return joined.select(*kept, F.coalesce("removed", none).alias("removed"))
 
 
 def _cut_out(mark: str):

@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from starloom.llm.common import table
 
 ROUNDS = 10
+#: Columns that exist between two steps only.
+_FOUND, _NEW = "__pii_found", "__pii_new"
 #: For tests and checks only; production runs pass their own secret.
 SAMPLE_KEY = "sample key, not a secret"
 
@@ -213,18 +215,18 @@ def pseudonymised(docs: DataFrame, key: str = SAMPLE_KEY) -> DataFrame:
     text = F.col("text")
     # no value is without a digit or an at sign: most texts end here
     some = text.rlike("[0-9@]") & text.rlike(ANY)
-    found = docs.withColumn("_found", F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))))
-    found = found.withColumn("_new", F.transform("_found", lambda m: pseudonym(m, key)))
+    found = docs.withColumn(_FOUND, F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))))
+    found = found.withColumn(_NEW, F.transform(_FOUND, lambda m: pseudonym(m, key)))
     pieces = F.zip_with(
-        F.split(text, ANY, -1), F.concat("_new", F.array(F.lit(""))), lambda piece, new: F.concat(piece, new)
+        F.split(text, ANY, -1), F.concat(_NEW, F.array(F.lit(""))), lambda piece, new: F.concat(piece, new)
     )
-    changed = F.filter(F.zip_with("_found", "_new", lambda a, b: a != b), lambda x: x)
+    changed = F.filter(F.zip_with(_FOUND, _NEW, lambda a, b: a != b), lambda x: x)
     return found.withColumns(
         {
-            "n_pseudonyms": F.when(F.col("_found").isNull(), 0).otherwise(F.size(changed)),
-            "text": F.when(F.col("_found").isNull(), text).otherwise(F.array_join(pieces, "")),
+            "n_pseudonyms": F.when(F.col(_FOUND).isNull(), 0).otherwise(F.size(changed)),
+            "text": F.when(F.col(_FOUND).isNull(), text).otherwise(F.array_join(pieces, "")),
         }
-    ).drop("_found", "_new")
+    ).drop(_FOUND, _NEW)
 
 
 def hide_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
