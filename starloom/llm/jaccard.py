@@ -357,6 +357,7 @@ def _wordless() -> F.Column:
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that name their class; of rows that share such a doc_id, all."""
     first = linked_classes(docs).where("doc_id is null or doc_id = class_id").select(F.col("doc_id").alias("_id")).distinct()
+    first = first.hint("merge")  # most ids: nothing to broadcast
     return docs.join(first, docs["doc_id"].eqNullSafe(first["_id"]), "left_semi")
 
 

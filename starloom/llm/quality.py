@@ -521,6 +521,7 @@ def judged(docs: DataFrame, width: float = WIDTH, shard_rows: int = SHARD_ROWS)
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that every rule keeps, with their columns; of rows that share a doc_id all, if any is good."""
     verdicts = judged(docs).where("kept").select(F.col("doc_id").alias("_good")).distinct()
+    verdicts = verdicts.hint("merge")  # most ids: nothing to broadcast
     return docs.join(verdicts, docs["doc_id"].eqNullSafe(verdicts["_good"]), "left_semi")
 
 
