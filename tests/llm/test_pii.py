@@ -1,0 +1,86 @@
+import re
+
+from pyspark.sql import functions as F
+
+from starloom.llm.common import table
+from starloom.llm.pii import hide_private, luhn_sum, permuted_number, permuted_text, pseudonymised
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def changed(spark, *texts, key="k"):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return [r.text for r in pseudonymised(rows, key).orderBy("doc_id").collect()]
+
+
+def test_numbers_are_permuted(spark):
+    n = 17 * 43
+    got = spark.range(n).select(permuted_number(F.col("id"), F.lit(17), F.lit(43), "k", "t").alias("y")).collect()
+    assert sorted(r.y for r in got) == list(range(n)) and [r.y for r in got] != list(range(n))
+
+
+def test_texts_are_permuted_within_their_classes(spark):
+    rows = spark.createDataFrame([(f"{a}{b}{c}",) for a in "abcxyz" for b in "0123456789" for c in "AZ"], "t string")
+    got = [r.y for r in rows.select(permuted_text(F.col("t"), "k", "m").alias("y")).collect()]
+    assert len(set(got)) == len(got) and all(re.fullmatch("[a-z][0-9][A-Z]", y) for y in got)
+
+
+def test_check_digits(spark):
+    rows = spark.createDataFrame([("4785380592391139",), ("4111111111111111",), ("4111111111111112",)], "d string")
+    assert [r.ok for r in rows.select((luhn_sum(F.col("d"), False) % 10 == 0).alias("ok")).collect()] == [True, True, False]
+
+
+def test_formats_stay_valid_and_values_linked(spark):
+    one, two = changed(
+        spark,
+        "card 4785380592391139 4785-3805-9239-1139 ip 10.1.2.3, tel +1 (743) 555-3824 on 2001-02-28; hein.19@mail5.example.com",
+        "again 4785380592391139 10.1.2.3 743-555-3824 02/28/2001 28.02.2001 hein.19@other.example.com 123-45-6789",
+    )
+    card = re.search(r"\d{16}", one)[0]
+    assert luhn(card) and card != "4785380592391139" and card in two and "-".join(re.findall("....", card)) in one
+    ip = re.search(r"ip ([\d.]+),", one)[1]
+    assert ip != "10.1.2.3" and f" {ip} " in two and all(int(x) < 256 for x in ip.split("."))
+    area, office, line = re.search(r"\+1 \((\d{3})\) (\d{3})-(\d{4})", one).groups()
+    assert f"{area}-{office}-{line}" in two and int(area) >= 200 and int(office) >= 200
+    y, m, d = re.search(r"on (\d{4})-(\d\d)-(\d\d);", one).groups()
+    assert f"{m}/{d}/{y}" in two and f"{d}.{m}.{y}" in two and y != "2001"
+    local = re.search(r"(\S+)@mail5.example.com", one)[1]
+    assert re.fullmatch(r"[a-z]{4}\.\d\d", local) and f"{local}@other.example.com" in two and local != "hein.19"
+    assert "123-45-6789" not in two
+    assert changed(spark, "4785380592391139", key="a") != changed(spark, "4785380592391139", key="b")
+
+
+def test_what_fails_its_validation_stays(spark):
+    texts = ["4785380592391138", "300.1.2.3", "1.2.3.4.5", "2001-02-30", "31/12/2001", "000-12-1234", "v1.2.3", "12345", "a @ b"]
+    assert changed(spark, *texts) == texts
+
+
+def test_adjacent_values(spark):
+    got = changed(spark, "4785380592391139 4785380592391139 10.1.2.3!! 10.1.2.3$$$")[0]
+    assert "4785380592391139" not in got and "10.1.2.3" not in got
+    a, b, c, d = got.split(" ")
+    assert a == b and c.rstrip("!") == d.rstrip("$")
+
+
+def test_odd_rows(spark, odd, none):
+    out = pseudonymised(odd)
+    assert [r.text for r in out.collect()] == [r.text for r in odd.collect()]
+    assert out.where("n_pseudonyms <> 0 or n_pseudonyms is null").count() == 0 and pseudonymised(none).count() == 0
+    assert hide_private(spark, odd, "").columns == odd.columns
+
+
+def test_no_private_value_is_left(spark, tables):
+    docs = table(spark, tables, "documents")
+    before = {r.doc_id: r.text for r in docs.collect()}
+    for r in pseudonymised(docs).collect():
+        for m in re.finditer(r"(?<![\w.])\d{16}(?!\w)|(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w.])|\+1 \(\d{3}\) \d{3}-\d{4}|\S+@\S+", before[r.doc_id]):
+            if not m[0].isdigit() or luhn(m[0]):
+                assert m[0] not in r.text
+        if r.n_pseudonyms == 0:
+            assert r.text == before[r.doc_id]
