@@ -88,7 +88,8 @@ def best_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
         )
         for r in rules
     ]
-    return F.array_max(F.array(*fits)) if fits else F.lit(None)
+    none = F.lit(None).cast("struct<length:int,host_length:int,rule:string,verdict:string>")
+    return F.array_max(F.array(*fits)) if fits else none
 
 
 def ruled(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
