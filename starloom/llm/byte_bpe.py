@@ -4,8 +4,9 @@ Texts are cut where every pre-token boundary is certain: before a space that sta
 characters that are no blanks. The pieces ("words", with their space) never share a pre-token,
 so the ids of a text are those of its words in order.
 
-1. Documents are gathered in blocks. A block keeps each text as the positions of its words in
-   the block's word list, and sends the list, cut by word hash, to the shuffle.
+1. Documents are gathered in blocks. A block keeps each text, in a file of its own, as the
+   positions of its words in the block's word list, and sends the list, cut by word hash, to
+   the shuffle.
 2. One task meets all occurrences of a word, encodes it once, pre-token by pre-token, and sends
    the ids back in the order of the list they came from.
 3. Lists and documents of a block meet again; ids are put together by position, and decoding
@@ -38,11 +39,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.common import blocks, parts, small_batches, table, written
+from starloom.llm.files import create, open_seekable
+from starloom.sources.workspace import new_folder
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Bytes of text in one block of documents.
-BLOCK_BYTES = 8_000_000
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+BLOCK_BYTES = 12_000_000
+#: Words of a block that are numbered by frequency.
+FREQUENT = 1 << 14
+_CUT, _TWO_BLANKS = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"\s\s")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -69,23 +74,111 @@ def words_of(text: str) -> list[str]:
     """The text's words, each but the first with the space before it."""
     if not text:
         return []
-    cut = _CUT.split(text)
+    cut = bare_words(text)
     return [cut[0], *[" " + w for w in cut[1:]]]
 
 
-def packed(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(data)
+def bare_words(text: str) -> list[str]:
+    """The text's words without the spaces between them."""
+    if _TWO_BLANKS.search(text) or text[:1].isspace() or text[-1:].isspace():
+        return _CUT.split(text)
+    return text.split(" ")  # the same, as every space stands between two other characters
+
+
+def packed(*parts_: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(parts_))
 
 
 def unpacked(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
-def word_blocks(docs: DataFrame, n_lists: int) -> DataFrame:
-    """Rows of two kinds: documents as word positions (list -1), and the word lists of their block.
+def planes(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers as four planes of bytes: the upper ones of small numbers compress to nothing."""
+    return np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(raw: bytes, n: int, at: int = 0) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n).T).view("<u4").ravel()
+
+
+def packed_texts(doc_ids: list[int | None], texts: list[np.ndarray], n_words: int) -> bytes:
+    """The documents of a block: their ids, their lengths and the places of their words.
+
+    The ``FREQUENT`` most common places are renumbered by frequency, which compresses well; the
+    others follow in their own order.
+    """
+    codes = np.concatenate([np.empty(0, np.int64), *texts]).astype(np.int64)
+    often = np.bincount(codes, minlength=n_words)
+    top = np.argsort(-often, kind="stable")[:FREQUENT]
+    known = np.array([x is not None for x in doc_ids], np.uint8)
+    ids = np.array([x or 0 for x in doc_ids], np.int64)
+    rank = np.argsort(_by_rank(top, n_words))
+    head = np.array([len(doc_ids), len(codes), n_words, len(top)], "<u4").tobytes()
+    lengths = np.array([len(t) for t in texts], np.uint32)
+    return packed(head, known.tobytes(), ids.tobytes(), planes(lengths), planes(top), planes(rank[codes]))
+
+
+def _by_rank(top: np.ndarray, n_words: int) -> np.ndarray:
+    """The place of each rank."""
+    rest = np.ones(n_words, bool)
+    rest[top] = False
+    return np.concatenate([top.astype(np.int64), np.flatnonzero(rest)])
+
+
+def unpacked_texts(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
+    """(doc_ids, words per document, places of all words in order)."""
+    raw = unpacked(data)
+    n, total, n_words, n_top = np.frombuffer(raw, "<u4", 4).tolist()
+    known = np.frombuffer(raw, np.uint8, n, 16)
+    ids = np.frombuffer(raw, np.int64, n, 16 + n)
+    at = 16 + 9 * n
+    lengths, at = from_planes(raw, n, at), at + 4 * n
+    top, at = from_planes(raw, n_top, at), at + 4 * n_top
+    places = _by_rank(top, n_words)[from_planes(raw, total, at)]
+    return [x if k else None for x, k in zip(ids.tolist(), known.tolist(), strict=True)], lengths, places
+
+
+def packed_list(items: list[bytes]) -> bytes:
+    return packed(planes(np.fromiter(map(len, items), np.uint32, len(items))), b"".join(items))
+
+
+def unpacked_list(n: int, data: bytes) -> list[bytes]:
+    raw = unpacked(data)
+    ends = np.cumsum(from_planes(raw, n), dtype=np.int64) + 4 * n
+    starts = np.concatenate([[4 * n], ends[:-1]])
+    return [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
+def packed_ids(items: list[bytes]) -> bytes:
+    """Like a list, with the ids' bytes in planes."""
+    lengths = np.fromiter(map(len, items), np.uint32, len(items))
+    return packed(planes(lengths), planes(np.frombuffer(b"".join(items), "<u4")))
+
+
+def unpacked_ids(n: int, data: bytes) -> list[bytes]:
+    raw = unpacked(data)
+    ends = np.cumsum(from_planes(raw, n), dtype=np.int64)
+    ids = from_planes(raw, (len(raw) - 4 * n) // 4, 4 * n).tobytes()
+    starts = np.concatenate([[0], ends[:-1]])
+    return [ids[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
+PIECE = "block string, list int, n int, data binary"
+_NAMES = ["block", "list", "n", "data"]
+
+
+def _pieces(rows: list[tuple[str, int, int, bytes]]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int32(), pa.int32(), pa.binary())
+    return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], _NAMES)
+
 
-    (block, list, doc_id, n, data): ``n`` words in ``data``; list ``k`` has the block's words whose
-    hash falls into ``k``, in order of their positions.
+def word_blocks(docs: DataFrame, n_lists: int, folder: str) -> DataFrame:
+    """(block, list, n, data): the word lists of each block, and a row for its documents (list -1).
+
+    List ``k`` has the block's distinct words whose hash falls into ``k``, sorted; places count
+    through the lists in order. The documents themselves, as places, go to a file of the block's
+    name in ``folder``: they are needed once, whole, and spare the shuffle.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,46 +186,26 @@ def word_blocks(docs: DataFrame, n_lists: int) -> DataFrame:
             block = uuid.uuid4().hex
             seen: dict[str, int] = {}
             number = seen.setdefault
-            texts, counts = [], []
-            for text in rows.column("text").to_pylist():
-                codes = [number(w, len(seen)) for w in words_of(text or "")]
-                counts.append(len(codes))
-                texts.append(np.array(codes, np.uint32))
-            # positions are renumbered list by list, so that a list's words are consecutive
-            words = list(seen)
-            where = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % n_lists for w in words), np.int64, len(words))
-            order = np.argsort(where, kind="stable")
-            place = np.empty(len(words), np.uint32)
-            place[order] = np.arange(len(words), dtype=np.uint32)
-            ids = rows.column("doc_id").to_pylist()
-            lists = np.searchsorted(where[order], np.arange(n_lists + 1))
-            kinds, sizes, data = [-1] * len(ids), counts, [packed(place[t].tobytes()) for t in texts]
-            for k in range(n_lists):
-                own = [words[i] for i in order[lists[k] : lists[k + 1]]]
-                if own:
-                    kinds.append(k)
-                    ids.append(None)
-                    sizes.append(len(own))
-                    encoded = [w.encode("utf-8", "surrogatepass") for w in own]
-                    lengths = np.fromiter(map(len, encoded), np.uint32, len(own)).tobytes()
-                    data.append(packed(lengths + b"".join(encoded)))
-            yield pa.record_batch(
-                [
-                    pa.array([block] * len(ids)), pa.array(kinds, pa.int32()), pa.array(ids, pa.int64()),
-                    pa.array(sizes, pa.int32()), pa.array(data, pa.binary()),
-                ],
-                ["block", "list", "doc_id", "n", "data"],
-            )
+            texts = [
+                np.array([number(w, len(seen)) for w in words_of(t or "")], np.int64) for t in rows.column("text").to_pylist()
+            ]
+            words = [w.encode("utf-8", "surrogatepass") for w in seen]
+            where = [zlib.crc32(w) % n_lists for w in words]
+            order = sorted(range(len(words)), key=lambda i: (where[i], words[i]))
+            place = np.empty(len(words), np.int64)
+            place[order] = np.arange(len(words))
+            lists: dict[int, list[bytes]] = {}
+            for i in order:
+                lists.setdefault(where[i], []).append(words[i])
+            content = packed_texts(rows.column("doc_id").to_pylist(), [place[t] for t in texts], len(words))
+            with create(f"{folder}/{block}") as out:
+                out.write(content)
+            yield _pieces([(block, -1, len(texts), b"")])
+            if lists:
+                yield _pieces([(block, k, len(own), packed_list(own)) for k, own in lists.items()])
 
     source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return source.mapInArrow(cut, "block string, list int, doc_id bigint, n int, data binary")
-
-
-def _unlisted(n: int, data: bytes) -> list[bytes]:
-    raw = unpacked(data)
-    ends = np.cumsum(np.frombuffer(raw, np.uint32, n), dtype=np.int64) + 4 * n
-    starts = np.concatenate([[4 * n], ends[:-1]])
-    return [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+    return source.mapInArrow(cut, PIECE)
 
 
 def encoded_lists(lists: DataFrame, path: str) -> DataFrame:
@@ -144,60 +217,61 @@ def encoded_lists(lists: DataFrame, path: str) -> DataFrame:
         current = None
         for batch in batches:
             out = []
-            for k, n, data in zip(*(batch.column(c).to_pylist() for c in ("list", "n", "data")), strict=True):
+            for block, k, n, data in zip(*(batch.column(c).to_pylist() for c in _NAMES), strict=True):
                 if k != current:  # lists come sorted by number: other words from here on
                     current, known = k, {}
-                found = []
-                for w in _unlisted(n, data):
-                    ids = known.get(w)
-                    if ids is None:
-                        ids = known[w] = np.array(one(w.decode("utf-8", "surrogatepass")), np.uint32).tobytes()
-                    found.append(ids)
-                lengths = np.fromiter(map(len, found), np.uint32, n).tobytes()
-                out.append(packed(lengths + b"".join(found)))
-            cols = [batch.column("block"), batch.column("list"), batch.column("doc_id"), batch.column("n"), pa.array(out, pa.binary())]
-            yield pa.record_batch(cols, ["block", "list", "doc_id", "n", "data"])
+                words = unpacked_list(n, data)
+                for w in words:
+                    if w not in known:
+                        known[w] = np.array(one(w.decode("utf-8", "surrogatepass")), "<u4").tobytes()
+                out.append((block, k, n, packed_ids(list(map(known.__getitem__, words)))))
+            if out:
+                yield _pieces(out)
 
     dealt = lists.repartition(parts(lists.sparkSession), "list").sortWithinPartitions("list")
-    return dealt.mapInArrow(encode, "block string, list int, doc_id bigint, n int, data binary")
+    return dealt.mapInArrow(encode, PIECE)
 
 
-def assembled(pieces: DataFrame, path: str) -> DataFrame:
+def assembled(pieces: DataFrame, path: str, folder: str) -> DataFrame:
     """(doc_id, ids binary, decoded binary): a block's lists and documents together again."""
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bytes_of = token_bytes(path)
         ids_of: list[bytes] = []
         current = None
-        for batch in batches:  # sorted by block, its lists first, then its documents
-            block, kind, n = (batch.column(c).to_pylist() for c in ("block", "list", "n"))
-            data, doc = batch.column("data").to_pylist(), batch.column("doc_id").to_pylist()
-            rows: list[tuple[int | None, bytes, bytes]] = []
-            for b, k, size, packed_, doc_id in zip(block, kind, n, data, doc, strict=True):
-                if b != current:
-                    current, ids_of = b, []
+        for batch in batches:  # sorted by block, its lists first and in order, then its documents
+            for block, k, n, data in zip(*(batch.column(c).to_pylist() for c in _NAMES), strict=True):
+                if block != current:
+                    current, ids_of = block, []
                 if k >= 0:
-                    ids_of += _unlisted(size, packed_)
+                    ids_of += unpacked_ids(n, data)
                     continue
-                places = np.frombuffer(unpacked(packed_), np.uint32)
-                ids = b"".join(map(ids_of.__getitem__, places.tolist()))
-                text = b"".join(map(bytes_of.__getitem__, np.frombuffer(ids, np.uint32).tolist()))
-                rows.append((doc_id, ids, text))
-            if rows:
-                cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)]
-                yield pa.record_batch(cols, ["doc_id", "ids", "decoded"])
+                with open_seekable(f"{folder}/{block}") as file:
+                    doc_ids, lengths, places = unpacked_texts(file.read())
+                ends = np.cumsum(lengths, dtype=np.int64)
+                for at in range(0, n, 64):
+                    rows = []
+                    for i in range(at, min(at + 64, n)):
+                        own = places[ends[i] - lengths[i] : ends[i]].tolist()
+                        ids = b"".join(map(ids_of.__getitem__, own))
+                        text = b"".join(map(bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+                        rows.append((doc_ids[i], ids, text))
+                    kinds = (pa.int64(), pa.binary(), pa.binary())
+                    cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+                    yield pa.record_batch(cols, ["doc_id", "ids", "decoded"])
 
     ordered = pieces.withColumn("late", F.col("list") < 0)
     dealt = ordered.repartition(parts(pieces.sparkSession), "block").sortWithinPartitions("block", "late", "list")
-    return dealt.mapInArrow(put, "doc_id bigint, ids binary, decoded binary")
+    return dealt.select(*_NAMES).mapInArrow(put, "doc_id bigint, ids binary, decoded binary")
 
 
 def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, decoded): little-endian unsigned 32-bit ids of each text and the bytes they stand for."""
     small_batches(docs.sparkSession)
-    pieces = written(word_blocks(docs, parts(docs.sparkSession)), "word-blocks")
+    folder = new_folder(docs.sparkSession, "word-places")
+    pieces = written(word_blocks(docs, parts(docs.sparkSession), folder), "word-lists")
     lists = encoded_lists(pieces.where("list >= 0"), path)
-    return assembled(pieces.where("list < 0").unionByName(lists), path)
+    return assembled(pieces.where("list < 0").unionByName(lists), path, folder)
 
 
 def digests(coded: DataFrame) -> DataFrame:
