@@ -4,8 +4,9 @@ The model is counted by Spark from all words of all texts. It predicts the chara
 word from up to four characters before them, per language, with interpolated modified
 Kneser-Ney discounts. A document's score is the mean surprise of its characters, in nats (the
 logarithm of its perplexity). A document is rejected when its score leaves its language's band:
-the median, give or take ``WIDTH`` robust deviations, widened for short texts by what chance
-does to a mean of few characters.
+the median, give or take ``WIDTH`` robust deviations, widened for short texts by ``NOISE_WIDTH``
+times what chance does to a mean of few characters, and for languages of few texts by what the
+median and the deviation of so few may be off.
 
 Results for odd rows: a null or empty text has no words and fails the base rules. A null
 language is a language of its own. Repeated rows are judged each. Ties need no rule: every
@@ -44,7 +45,11 @@ ORDER = 5
 MIN_WORDS = 10
 MAX_REPEAT_PCT = 20
 WINDOW = 5
-WIDTH = 8.0
+WIDTH = 3.0
+#: Standard errors of a mean of few characters that the band leaves besides.
+NOISE_WIDTH = 2.0
+#: Standard errors of a median and of a robust deviation over n normal values, times the root of n.
+MEDIAN_ERROR, SPREAD_ERROR = 1.2533, 1.1664
 #: N-grams and contexts that one pass over the documents broadcasts (16 bytes each).
 SHARD_ROWS = 4_000_000
 #: Parts of the model that can be told apart by a place's context.
@@ -457,7 +462,7 @@ def _score(batches: Iterator[pa.RecordBatch], shard: Shard) -> Iterator[pa.Recor
 
 
 def bands(scores: DataFrame) -> DataFrame:
-    """(lang, middle, spread, noise) of the scores of texts that pass the base rules.
+    """(lang, n_scores, middle, spread, noise) of the scores of texts that pass the base rules.
 
     ``middle`` and ``spread`` (the median distance from it) come from histograms, so that a
     language with a third of all documents is summed in its tasks and only its bins meet.
@@ -471,9 +476,12 @@ def bands(scores: DataFrame) -> DataFrame:
     away = away.groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     spread = _middle(away).withColumnRenamed("mid", "spread")
     places, mean = F.sum("n_targets"), F.sum("surprise") / F.sum("n_targets") / 1e6
-    noise = good.groupBy("lang").agg((F.sum("squares") / places / 1e6 - mean * mean).alias("noise"))
+    noise = good.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_scores"), (F.sum("squares") / places / 1e6 - mean * mean).alias("noise")
+    )
     return middle.join(spread, "lang").join(noise, "lang").select(
         "lang",
+        "n_scores",
         (F.col("middle") / 1000).alias("middle"),
         (F.col("spread") / 1000).alias("spread"),
         F.greatest("noise", F.lit(0.0)).alias("noise"),
@@ -503,7 +511,11 @@ def judged(docs: DataFrame, width: float = WIDTH, shard_rows: int = SHARD_ROWS)
     scores = written(scored(docs, train(docs), shard_rows), "judged")
     limits = written(bands(scores), "bands")
     # a mean over few characters strays by chance: its variance adds to the language's own
-    half = width * F.sqrt(F.pow(1.4826 * F.col("spread"), 2) + F.col("noise") / F.col("n_targets"))
+    unsure = 2 / F.sqrt("n_scores")  # two standard errors of what few scores say of a language
+    wide = width * (1 + SPREAD_ERROR * unsure) + MEDIAN_ERROR * unsure
+    half = F.sqrt(
+        F.pow(wide * 1.4826 * F.col("spread"), 2) + NOISE_WIDTH**2 * F.col("noise") / F.greatest("n_targets", F.lit(1))
+    )
     failed = base_failed()
     value = F.when(F.col("n_targets") > 0, score())
     inside = (F.col("log_perplexity") >= F.col("lower")) & (F.col("log_perplexity") <= F.col("upper"))

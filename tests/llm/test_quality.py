@@ -103,6 +103,13 @@ def test_noise_leaves_the_band_and_prose_does_not(spark, tables):
     assert sum(r.kept for r in judged_on) >= 0.97 * len(judged_on)
 
 
+def test_the_band_rejects_bad_texts_that_pass_the_base_rules(spark, tables):
+    docs = table(spark, tables, "documents")
+    quality = {r.doc_id: r.quality for r in table(spark, tables, "labels").collect()}
+    out = [quality.get(r.doc_id) for r in judged(docs).where("not base_failed and not kept").collect()]
+    assert out.count(0) >= 2 and out.count(1) == 0
+
+
 def test_odd_rows(spark, odd, none):
     out = judged(odd)
     assert out.count() == odd.count() and out.where("doc_id = 3").first().base_failed
