@@ -36,7 +36,7 @@ SAMPLE_KEY = "sample key, not a secret"
 
 #: The first part looks ahead for the at sign, so that a word without one costs one scan.
 EMAIL = r"(?<![A-Za-z0-9._%+-])(?=[A-Za-z0-9._%+-]{1,64}+@)[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9])?@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+"
-SECRET = r"(?i:\b(?:token|secret|api[_-]?key|password)\b\s{0,3}[=:]\s{0,3}[\"']?)[0-9a-f]{32,}(?![0-9A-Za-z])"
+SECRET = r"(?i:\b(?:token|secret|api[_-]?key|password)\b\s{0,3}[=:]\s{0,3}[\"']?)[0-9A-Fa-f]{32,}(?![0-9A-Za-z])"
 ISO_DATE = r"(?<![\w.-])\d{4}-\d{2}-\d{2}(?![\w-])"
 OTHER_DATE = r"(?<![\w./-])(?:\d{2}/\d{2}/\d{4}(?![\w/])|\d{2}\.\d{2}\.\d{4}(?!\w|\.\d))"
 SSN = r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])"
@@ -68,8 +68,8 @@ def permuted_number(value: Column, left: Column, right: Column, key: str, kind:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn, lambda acc: acc["l"] * right + acc["r"])
 
 
-def permuted_text(text: Column, key: str, kind: str, hexadecimal: bool = False) -> Column:
-    """A permutation of texts of one shape: each character moves within its class."""
+def permuted_text(text: Column, key: str, kind: str, hexadecimal: bool = False, letters: int = 26) -> Column:
+    """A permutation of texts of one shape: each character moves within its class, letters among the first ``letters``."""
     half = F.floor(F.length(text) / 2).cast("int")
     start = F.struct(F.left(text, half).alias("l"), F.right(text, F.length(text) - half).alias("r"))
 
@@ -86,8 +86,8 @@ def permuted_text(text: Column, key: str, kind: str, hexadecimal: bool = False)
                 return F.char(F.lit(ord(first)) + (F.ascii(c) - ord(first) + by) % size)
 
             return (
-                F.when(c.between("a", "z"), within("a", 26))
-                .when(c.between("A", "Z"), within("A", 26))
+                F.when(c.between("a", "z"), within("a", letters))
+                .when(c.between("A", "Z"), within("A", letters))
                 .when(c.between("0", "9"), within("0", 10))
                 .otherwise(c)
             )
@@ -197,10 +197,13 @@ def _date(m: Column, shape: str, key: str) -> Column:
 
 def pseudonym(m: Column, key: str) -> Column:
     """The pseudonym of one match of ``ANY``, or the match itself if its validation fails."""
-    local, secret = F.substring_index(m, "@", 1), F.regexp_extract(m, r"[0-9a-f]{32,}$", 0)
+    local, secret = F.substring_index(m, "@", 1), F.regexp_extract(m, r"[0-9A-Fa-f]{32,}$", 0)
+    # with upper-case letters every digit stays in its class, so that no result meets one of a lower-case secret
+    cased = permuted_text(secret, key, "secret", letters=6)
+    hidden = F.when(secret.rlike("[A-F]"), cased).otherwise(permuted_text(secret, key, "secret", True))
     return (
         F.when(m.contains("@"), F.concat(permuted_text(local, key, "mail"), F.lit("@"), F.substring_index(m, "@", -1)))
-        .when(secret != "", F.concat(F.left(m, F.length(m) - F.length(secret)), permuted_text(secret, key, "secret", True)))
+        .when(secret != "", F.concat(F.left(m, F.length(m) - F.length(secret)), hidden))
         .when(m.rlike(r"^\d{4}-\d{2}-\d{2}$"), _date(m, "yyyy-MM-dd", key))
         .when(m.rlike(r"^\d{2}/\d{2}/\d{4}$"), _date(m, "MM/dd/yyyy", key))
         .when(m.rlike(r"^\d{2}\.\d{2}\.\d{4}$"), _date(m, "dd.MM.yyyy", key))

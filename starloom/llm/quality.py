@@ -17,6 +17,7 @@ like a result are replaced.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -393,7 +394,7 @@ def train(docs: DataFrame) -> DataFrame:
 # --- scoring
 
 SCORES = (
-    "doc_id bigint, lang string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
+    "doc_id bigint, lang string, digest binary, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
     "n_repeat_words bigint, n_targets bigint, surprise bigint, squares bigint"
 )
 
@@ -416,11 +417,14 @@ def scored(docs: DataFrame, model: DataFrame, shard_rows: int = SHARD_ROWS) -> D
         one = one.mapInArrow(lambda batches, shard=shard: _score(batches, shard.value), SCORES)
         passes = one if passes is None else passes.union(one)
     if n == 1:
-        return passes
-    # repeated doc_ids have equal measures or are told apart by them; each pass has each row once
-    keys = [c for c in passes.columns if c not in ("n_targets", "surprise", "squares")]
-    sums = passes.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n_targets", "surprise", "squares")])
-    return sums
+        return passes.drop("digest")
+    # rows that share doc_id, language and the text's digest are equal, and so are their sums in each
+    # pass: a group's sums are shared out evenly among its rows, of which each pass has all
+    totals = ("n_targets", "surprise", "squares")
+    keys = [c for c in passes.columns if c not in totals]
+    sums = passes.groupBy(*keys).agg((F.count(F.lit(1)) / n).cast("long").alias("m"), *[F.sum(c).alias(c) for c in totals])
+    each = sums.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("m"))))
+    return each.select(*[F.expr(f"{c} div m").alias(c) if c in totals else c for c in passes.columns if c != "digest"])
 
 
 def _score(batches: Iterator[pa.RecordBatch], shard: Shard) -> Iterator[pa.RecordBatch]:
@@ -451,16 +455,21 @@ def _score(batches: Iterator[pa.RecordBatch], shard: Shard) -> Iterator[pa.Recor
             [
                 rows.column("doc_id").combine_chunks(),
                 rows.column("lang").combine_chunks(),
+                pa.array(_digests(words.texts) if shard.n_shards > 1 else [None] * n, pa.binary()),
                 *[pa.array(base[c]) for c in BASE_MEASURES],
                 *[pa.array(x.astype(np.int64)) for x in exact],
             ],
             schema=pa.schema(
-                [("doc_id", pa.int64()), ("lang", pa.string())]
+                [("doc_id", pa.int64()), ("lang", pa.string()), ("digest", pa.binary())]
                 + [(c, pa.int64()) for c in (*BASE_MEASURES, "n_targets", "surprise", "squares")]
             ),
         )
 
 
+def _digests(texts: list[str]) -> list[bytes]:
+    return [hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in texts]
+
+
 def bands(scores: DataFrame) -> DataFrame:
     """(lang, n_scores, middle, spread, noise) of the scores of texts that pass the base rules.
 

@@ -84,3 +84,11 @@ def test_no_private_value_is_left(spark, tables):
                 assert m[0] not in r.text
         if r.n_pseudonyms == 0:
             assert r.text == before[r.doc_id]
+
+
+def test_secrets_in_upper_and_mixed_case_are_hidden(spark):
+    upper, mixed = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B", "9233a8ECF7c5b09fe5949719B6B82bc439e9329B"
+    got = changed(spark, f'TOKEN = "{upper}"', f"token={mixed}.", f"Password: {upper}")
+    assert upper not in got[0] and re.fullmatch(r'TOKEN = "[0-9A-F]{40}"', got[0])
+    assert mixed not in got[1] and re.fullmatch(r"token=[0-9A-Fa-f]{40}\.", got[1])
+    assert got[2] == "Password: " + got[0][9:-1]

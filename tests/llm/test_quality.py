@@ -116,3 +116,15 @@ def test_odd_rows(spark, odd, none):
     assert out.where("doc_id = 2").count() == 2
     assert judged(none).count() == 0 and keep_good(spark, none, "").columns == none.columns
     assert keep_good(spark, odd, "").columns == odd.columns
+
+
+def test_shards_change_no_rows(spark, odd):
+    extra = [(None, "same size one of two texts", "en"), (None, "same size two of one texts", "en"), (None, "same size one of two texts", "en")]
+    docs = odd.select("doc_id", "text", "lang").union(spark.createDataFrame(extra, "doc_id bigint, text string, lang string"))
+    model = train(docs)
+    one, many = (scored(docs, model, n).collect() for n in (4_000_000, 20))
+    assert len(many) == len(one) == docs.count()
+    exact = lambda rows: sorted((str(r[:-2]) for r in rows))
+    assert exact(many) == exact(one)
+    near = lambda rows: sorted((str(r[:-2]), r.surprise) for r in rows)
+    assert all(abs(a[1] - b[1]) <= 64 for a, b in zip(near(many), near(one), strict=True))
