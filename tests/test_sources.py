@@ -163,7 +163,7 @@ def test_create_if_absent_leaves_an_existing_table(spark, tmp_path):
 def test_ddl_carries_comments():
     schema = T.StructType([T.StructField("a", T.LongType(), True, {"comment": "it's"})])
     ddl = table_ddl("ns.t", schema, "/x", ["a"], "all")
-    assert "`a` bigint COMMENT 'it\\'s'" in ddl and "PARTITIONED BY (a)" in ddl and "COMMENT 'all'" in ddl
+    assert "`a` bigint COMMENT 'it\\'s'" in ddl and "PARTITIONED BY (`a`)" in ddl and "COMMENT 'all'" in ddl
 
 
 def test_catalog_tables_follow_their_files(spark, tmp_path):
