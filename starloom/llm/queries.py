@@ -15,6 +15,7 @@ from starloom.llm.pii import op5_pii_pseudonyms
 from starloom.llm.quality import op6_quality_rules
 from starloom.llm.token_files import op7_token_id_files
 from starloom.llm.url_rules import ORACLE_OP9, op9_url_filters
+from starloom.llm.variants import op11_spelling_variants
 from starloom.llm.warc import ORACLE_OP2, op2_warc_salvage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +31,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_url_filters": op9_url_filters,
     "op10_byte_level_bpe": op10_byte_level_bpe,
+    "op11_spelling_variants": op11_spelling_variants,
 }
 
 ORACLE: dict[str, str] = {
