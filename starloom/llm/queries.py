@@ -14,6 +14,7 @@ from starloom.llm.passages import ORACLE_OP8, op8_line_dedup
 from starloom.llm.pii import op5_pii_pseudonyms
 from starloom.llm.quality import op6_quality_rules
 from starloom.llm.token_files import op7_token_id_files
+from starloom.llm.toxicity import op12_toxicity
 from starloom.llm.url_rules import ORACLE_OP9, op9_url_filters
 from starloom.llm.variants import op11_spelling_variants
 from starloom.llm.warc import ORACLE_OP2, op2_warc_salvage
@@ -32,6 +33,7 @@ QUERIES: dict[str, Query] = {
     "op9_url_filters": op9_url_filters,
     "op10_byte_level_bpe": op10_byte_level_bpe,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_toxicity": op12_toxicity,
 }
 
 ORACLE: dict[str, str] = {
