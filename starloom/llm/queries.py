@@ -13,6 +13,7 @@ from starloom.llm.jaccard import op4_ngram_jaccard_join
 from starloom.llm.passages import ORACLE_OP8, op8_line_dedup
 from starloom.llm.pii import op5_pii_pseudonyms
 from starloom.llm.quality import op6_quality_rules
+from starloom.llm.repair import op13_conversation_repair
 from starloom.llm.token_files import op7_token_id_files
 from starloom.llm.toxicity import op12_toxicity
 from starloom.llm.url_rules import ORACLE_OP9, op9_url_filters
@@ -34,6 +35,7 @@ QUERIES: dict[str, Query] = {
     "op10_byte_level_bpe": op10_byte_level_bpe,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_toxicity": op12_toxicity,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE: dict[str, str] = {
