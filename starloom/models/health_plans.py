@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starloom.specs import Column, Dimension, Layer, Source, Star
+from starloom.specs import Column, Dimension, Layer, Rollup, Source, Star
 
 # The public file's column names and order, the shard name pattern, and the
 # table and column names that existing queries over the star use.
@@ -60,6 +60,11 @@ HEALTH_PLANS = Star(
     measures=("QT_BENEFICIARIO_ATIVO", "QT_BENEFICIARIO_ADERIDO", "QT_BENEFICIARIO_CANCELADO"),
     period="ID_CMPT_MOVEL",
     view="star_beneficiario",
+    rollups=(
+        Rollup("operator", ("dim_operadora",)),
+        Rollup("band", ("dim_faixa_etaria",)),
+        Rollup("city", ("dim_municipio",), ("SG_UF",)),
+    ),
 )
 
 # The properties under which this star's three layers are registered.

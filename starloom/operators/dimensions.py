@@ -41,7 +41,7 @@ def dimension_rows(members: DataFrame, dim: Dimension, run_ts: Column | None = N
     """Members with surrogate key and audit timestamps, in the dimension's column order."""
     now = F.current_timestamp() if run_ts is None else run_ts
     return members.select(
-        surrogate_key(F.col(dim.bk)).alias(dim.sk),
+        surrogate_key(F.col(dim.bk), dim.key_bits).alias(dim.sk),
         dim.bk,
         *dim.attributes,
         now.alias(dim.created_at),
@@ -63,18 +63,23 @@ def require_unique(rows: DataFrame, dim: Dimension) -> DataFrame:
     )
 
 
-def merge_type1(
+def _matches(name: str, null_safe: bool) -> Column:
+    old, new = F.col(f"t.{name}"), F.col(f"s.{name}")
+    return old.eqNullSafe(new) if null_safe else old == new
+
+
+def changes_type1(
     target: DataFrame,
     source: DataFrame,
     dim: Dimension,
     run_ts: Column | None = None,
     null_safe: bool = True,
 ) -> DataFrame:
-    """The dimension after upserting ``source``, with flags saying what happened to each row.
+    """What upserting ``source`` does: a row per source row, flagged, with its image before and after.
 
     Matched rows keep surrogate key and creation time; attributes and update time change
-    only when an attribute differs. Unmatched source rows are inserted as they are, target
-    rows without a source row stay. ``source`` must not repeat a business key.
+    only when an attribute differs. Unmatched source rows are inserted as they are. Target
+    rows without a source row stay and do not show. ``source`` must not repeat a business key.
 
     ``null_safe=False`` uses plain SQL comparison throughout: a NULL key matches nothing, so
     each run inserts it again, and NULL on one side of an attribute is no change.
@@ -82,15 +87,40 @@ def merge_type1(
     now = F.current_timestamp() if run_ts is None else run_ts
     t = target.select(F.struct(*dim.columns).alias("t"))
     s = source.select(F.struct(*dim.columns).alias("s"))
+    # Whether the target took part is told by its struct, which is NULL only for a missing side.
+    joined = s.join(t, _matches(dim.bk, null_safe), "left")
+    in_target = F.col("t").isNotNull()
+    differs = reduce(or_, [~_matches(a, null_safe) for a in dim.attributes])
 
-    def matches(name: str) -> Column:
-        old, new = F.col(f"t.{name}"), F.col(f"s.{name}")
-        return old.eqNullSafe(new) if null_safe else old == new
+    def changed(name: str) -> Column:
+        if name == dim.updated_at:
+            return now.cast("timestamp").alias(name)
+        return F.col(f"s.{name}" if name in dim.attributes else f"t.{name}").alias(name)
 
-    # Whether a side took part is told by its struct, which is NULL only for a missing side.
-    joined = t.join(s, matches(dim.bk), "full_outer")
+    after = F.when(in_target, F.struct(*[changed(c) for c in dim.columns])).otherwise(F.col("s"))
+    return joined.select(
+        F.col("t").alias("before"),
+        after.alias("after"),
+        (~in_target).alias(INSERTED),
+        F.coalesce(in_target & differs, F.lit(False)).alias(UPDATED),
+        F.lit(True).alias(FROM_SOURCE),
+    )
+
+
+def merge_type1(
+    target: DataFrame,
+    source: DataFrame,
+    dim: Dimension,
+    run_ts: Column | None = None,
+    null_safe: bool = True,
+) -> DataFrame:
+    """The whole dimension after upserting ``source`` as ``changes_type1`` says, with its flags on each row."""
+    now = F.current_timestamp() if run_ts is None else run_ts
+    t = target.select(F.struct(*dim.columns).alias("t"))
+    s = source.select(F.struct(*dim.columns).alias("s"))
+    joined = t.join(s, _matches(dim.bk, null_safe), "full_outer")
     in_target, in_source = F.col("t").isNotNull(), F.col("s").isNotNull()
-    differs = reduce(or_, [~matches(a) for a in dim.attributes])
+    differs = reduce(or_, [~_matches(a, null_safe) for a in dim.attributes])
     flagged = joined.select(
         "t",
         "s",

@@ -55,12 +55,20 @@ def hot_keys(rows: DataFrame, key: str) -> dict[object, float]:
     return {k: n / total for k, n in hot}
 
 
-def shares_of(rows: DataFrame, keys: Mapping[str, Column], total: int) -> DataFrame:
-    """(name, key, share) of every hot value of each named key, in one pass over ``rows``."""
+def shares_of(rows: DataFrame, keys: Mapping[str, Column], period: str) -> DataFrame:
+    """(name, key, n, period): rows of every hot value of each named key in each period, in one pass over ``rows``.
+
+    A row with a NULL name holds a period's total.
+    """
     each = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), c.alias("key")) for n, c in keys.items()]))
-    counted = rows.select(each.alias("k")).select("k.*").where("key is not null").groupBy("name", "key")
-    counted = counted.agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") * HOT_FRACTION > total)
-    return counted.select("name", "key", (F.col("_n") / F.lit(total)).alias("share"))
+    counted = rows.select(period, each.alias("k")).select(period, "k.*").where("key is not null").groupBy(period, "name", "key")
+    counted = counted.agg(F.count(F.lit(1)).alias("n"))
+    # no column but the period is read, and there are as many rows as periods
+    totals = rows.groupBy(period).agg(F.count(F.lit(1)).alias("_all"))
+    named = totals.select(F.col(period).alias("_period"), "_all")
+    hot = counted.join(F.broadcast(named), F.col(period).eqNullSafe(F.col("_period"))).where(F.col("n") * HOT_FRACTION > F.col("_all"))
+    none = F.lit(None).cast("string")
+    return hot.select("name", "key", "n", period).union(totals.select(none.alias("name"), none.alias("key"), F.col("_all").alias("n"), period))
 
 
 def salts_per_key(shares: Mapping[object, float], partitions: int) -> dict[int, list]:

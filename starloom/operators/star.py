@@ -3,23 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.lookup import BROADCAST_BYTES, Side, left_lookup
-from starloom.specs import Dimension, Star
+from starloom.specs import Dimension, Rollup, Star
 
 
 @dataclass(frozen=True)
 class Mart:
-    """A loaded star: its spec, the fact and the dimension members by name."""
+    """A loaded star: its spec, the fact, the dimension members and the rollups by name."""
 
     star: Star
     fact: DataFrame
     members: Mapping[str, Side]
     limit: int = BROADCAST_BYTES
+    rollups: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
 def _needed(mart: Mart, columns: Sequence[str]) -> list[tuple[Dimension, list[str]]]:
@@ -53,6 +54,16 @@ def star_view(mart: Mart, columns: Sequence[str] | None = None) -> DataFrame:
     return _with_members(mart.fact, mart, chosen).select(*chosen)
 
 
+def covering_rollup(mart: Mart, own: Sequence[str], dims: Sequence[Dimension]) -> Rollup | None:
+    """The stored rollup with the fewest keys from which sums by these columns and dimensions can be taken."""
+    needed = {d.name for d in dims}
+    fits = [
+        r for r in mart.star.rollups
+        if r.name in mart.rollups and needed <= set(r.dimensions) and set(own) <= {mart.star.period, *r.own}
+    ]
+    return min(fits, key=lambda r: (len(r.dimensions) + len(r.own), r.name), default=None)
+
+
 def ranking(
     mart: Mart,
     by: Sequence[str],
@@ -65,11 +76,14 @@ def ranking(
     The fact is summed per surrogate key before any dimension is joined, so the shuffle
     carries one row per key and task however hot a key is. Summing those sums per member
     gives what summing the joined rows would: a join multiplies a sum and its rows alike.
+    Where the star keeps a rollup with these keys, its sums are taken instead of the fact's rows.
     Ties are broken by the group columns; NULL groups stay and come last.
     """
     dims = [dim for dim, _ in _needed(mart, by)]
     own = [c for c in by if mart.star.dimension_of(c) is None]
-    per_key = mart.fact.groupBy(*own, *[d.sk for d in dims]).agg(F.sum(measure).alias("_part"))
+    rollup = covering_rollup(mart, own, dims) if measure in mart.star.measures else None
+    rows = mart.fact if rollup is None else mart.rollups[rollup.name]
+    per_key = rows.groupBy(*own, *[d.sk for d in dims]).agg(F.sum(measure).alias("_part"))
     totals = _with_members(per_key, mart, by, summed=True).groupBy(*by).agg(F.sum("_part").alias(total))
     ordered = totals.orderBy(F.desc_nulls_last(total), *[F.asc_nulls_last(c) for c in by])
     return ordered if limit is None else ordered.limit(limit)

@@ -7,7 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import SparkSession
 
 from starloom.plans.loads import Layout
-from starloom.sources.catalog import create_namespace, refresh_table, reset_table
+from starloom.sources.catalog import create_namespace, refresh_table, reset_bucketed, reset_table
+from starloom.sources.commits import BUCKET
 from starloom.specs import Layer, Star
 
 
@@ -49,5 +50,9 @@ def publish_catalog(
         refresh_table(spark, name, partitioned=layout.fmt == "parquet")
     for dim in star.dimensions:
         name = f"{prefix}gold.{dim.name}"
-        reset_table(spark, name, dim.schema, store.location(dim), comment=dim.comment, fmt=layout.fmt)
+        folders = store.locations(dim)
+        if len(folders) == 1:
+            reset_table(spark, name, dim.schema, folders[0], comment=dim.comment, fmt=layout.fmt)
+        else:
+            reset_bucketed(spark, name, dim.schema, f"{layout.root}/gold/{dim.name}", folders, BUCKET, dim.comment)
     spark.sql(f"CREATE OR REPLACE VIEW {prefix}gold.{star.view} AS {star_view_sql(star, prefix + 'gold')}")

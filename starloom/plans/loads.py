@@ -15,13 +15,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.functions import surrogate_key
+from starloom.functions.keys import ALL_BITS, surrogate_key
 from starloom.operators.clean import clean
 from starloom.operators.dimensions import dimension_rows, distinct_members, latest_members
 from starloom.operators.fact import fact_rows
-from starloom.operators.lookup import BROADCAST_BYTES, Side, shares_of
+from starloom.operators.lookup import BROADCAST_BYTES, HOT_FRACTION, Side, shares_of
 from starloom.operators.star import Mart, star_view
-from starloom.sources.commits import DimensionStore
+from starloom.sources.commits import BUCKET_BYTES, REKEY, DimensionStore
 from starloom.sources.delimited import list_shards, read_shards
 from starloom.sources.tables import (
     create_if_absent,
@@ -30,17 +30,19 @@ from starloom.sources.tables import (
     read_table,
     table_exists,
 )
-from starloom.specs import Dimension, Star
+from starloom.specs import Dimension, Rollup, Star
 
 SUCCESS, NO_DATA = "success", "no data"
-HOT_KEYS = T.StructType(
-    [
-        T.StructField("name", T.StringType()),
-        T.StructField("key", T.StringType()),
-        T.StructField("share", T.DoubleType()),
-        T.StructField("sk", T.LongType()),
-    ]
-)
+
+
+def _fields(**types: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
+
+
+#: Per period: rows of every key with over 1/1000 of them, and of the period (name NULL).
+HOT_KEYS = _fields(name=T.StringType(), key=T.StringType(), n=T.LongType(), sk=T.LongType())
+#: Which dimension versions the fact's periods were built with; a NULL period stands for all of them.
+BUILDS = _fields(built_at=T.TimestampType(), period=T.StringType(), dimension=T.StringType(), version=T.LongType())
 
 
 @dataclass(frozen=True)
@@ -50,6 +52,7 @@ class Layout:
     root: str
     star: Star
     fmt: str = "parquet"
+    bucket_bytes: int = BUCKET_BYTES
 
     @property
     def raw(self) -> str:
@@ -67,6 +70,20 @@ class Layout:
     def hot_keys(self) -> str:
         return f"{self.root}/gold/{self.star.fact_table}_hot_keys"
 
+    @property
+    def hot_keys_schema(self) -> T.StructType:
+        return T.StructType([*HOT_KEYS.fields, T.StructField(self.star.period, T.StringType())])
+
+    @property
+    def builds(self) -> str:
+        return f"{self.root}/gold/{self.star.fact_table}_builds"
+
+    def rollup(self, rollup: Rollup) -> str:
+        return f"{self.root}/gold/{self.star.fact_table}_by_{rollup.name}"
+
+    def read_rollup(self, spark: SparkSession, rollup: Rollup) -> DataFrame:
+        return read_table(spark, self.rollup(rollup), self.star.rollup_schema(rollup), self.fmt)
+
     def members(self, dim: Dimension) -> str:
         return f"{self.root}/silver/members_{dim.name}"
 
@@ -84,7 +101,7 @@ class Layout:
         return read_table(spark, self.fact, self.star.fact_schema, self.fmt)
 
     def dimensions(self, spark: SparkSession) -> DimensionStore:
-        return DimensionStore(spark, f"{self.root}/gold", self.fmt)
+        return DimensionStore(spark, f"{self.root}/gold", self.fmt, self.bucket_bytes)
 
     def create_tables(self, spark: SparkSession) -> None:
         """Empty raw, clean and fact tables where there are none, so that steps find something to read."""
@@ -111,11 +128,12 @@ class StepReport:
     files_loaded: int | None = None
     partition_by: str = ""
     table_schema: str = ""
+    rows_rekeyed: int | None = None
 
 
 REPORT_COLUMNS = (
     "step string, target string, status string, rows_read bigint, rows_written bigint, rows_inserted bigint, "
-    "rows_updated bigint, files_loaded bigint, partition_by string, table_schema string"
+    "rows_updated bigint, files_loaded bigint, partition_by string, table_schema string, rows_rekeyed bigint"
 )
 
 
@@ -219,6 +237,7 @@ def upsert_dimension(
         rows_written=commit["rows_inserted"] + commit["rows_updated"],
         rows_inserted=commit["rows_inserted"],
         rows_updated=commit["rows_updated"],
+        rows_rekeyed=commit["rows_rekeyed"],
         table_schema=source.schema.simpleString(),
     )
 
@@ -238,29 +257,48 @@ def upsert_dimensions(
         return list(pool.map(lambda dim: upsert_dimension(spark, layout, dim, run_ts, null_safe, periods), dims))
 
 
-def record_hot_keys(layout: Layout, rows: DataFrame, total: int) -> dict[str, dict[str, dict[object, float]]]:
-    """Which keys hold over 1/1000 of ``rows`` each, found in one pass and stored beside the fact.
+def record_hot_keys(layout: Layout, rows: DataFrame) -> dict[str, dict[str, dict[object, float]]]:
+    """Which keys hold over 1/1000 of a period's ``rows`` each, found in one pass and stored beside the fact.
 
-    By dimension, then by business and surrogate key. They only steer how joins are dealt out.
+    Only the periods found in ``rows`` are renewed. A key with over 1/1000 of all rows has that share
+    of some period too. Hot keys only steer how joins are dealt out: one whose surrogate key has moved
+    since it was stored is joined like any other key.
     """
-    star = layout.star
+    star, spark = layout.star, rows.sparkSession
     if not star.dimensions:
         return {}
-    found = shares_of(rows, {d.name: F.col(d.bk) for d in star.dimensions}, total)
-    hot = found.withColumn("sk", surrogate_key(F.col("key")))
-    hot.coalesce(1).write.mode("overwrite").format(layout.fmt).save(layout.hot_keys)
-    return known_hot_keys(rows.sparkSession, layout)
+    found = shares_of(rows, {d.name: F.col(d.bk) for d in star.dimensions}, star.period)
+    sk = F.lit(None).cast("long")
+    for dim in star.dimensions:
+        sk = F.when(F.col("name") == dim.name, surrogate_key(F.col("key"), dim.key_bits)).otherwise(sk)
+    found = found.withColumn("sk", sk)
+    for dim in star.dimensions:
+        if dim.key_bits < ALL_BITS:  # else exceptions are too few to be hot
+            moved = layout.dimensions(spark).exceptions(dim).select(F.lit(dim.name).alias("_n"), F.col(dim.bk).alias("_bk"), F.col(dim.sk).alias("_moved"))
+            joined = found.join(moved, (F.col("name") == F.col("_n")) & (F.col("key") == F.col("_bk")), "left")
+            found = joined.withColumn("sk", F.coalesce("_moved", "sk")).drop("_n", "_bk", "_moved")
+    schema = layout.hot_keys_schema
+    overwrite_partitions(found.select(*schema.names), layout.hot_keys, schema, [star.period], layout.fmt, gather=True)
+    return known_hot_keys(spark, layout)
 
 
 def known_hot_keys(spark: SparkSession, layout: Layout) -> dict[str, dict[str, dict[object, float]]]:
-    """The stored hot keys: fewer than 1000 per dimension. Empty where no fact has been built yet."""
+    """The stored hot keys of all periods together: fewer than 1000 per dimension. Empty where no fact was built yet.
+
+    By dimension, then by business and surrogate key.
+    """
     if not table_exists(spark, layout.hot_keys, layout.fmt):
         return {}
     out = {d.name: {d.bk: {}, d.sk: {}} for d in layout.star.dimensions}
-    for row in read_table(spark, layout.hot_keys, HOT_KEYS, layout.fmt).collect():
-        dim = layout.star.dimension(row["name"])
-        out[dim.name][dim.bk][row["key"]] = row["share"]
-        out[dim.name][dim.sk][row["sk"]] = row["share"]
+    stored = read_table(spark, layout.hot_keys, layout.hot_keys_schema, layout.fmt)
+    counted = stored.groupBy("name", "key").agg(F.sum("n").alias("n"), F.max("sk").alias("sk"))
+    # the total comes first, and keys with over 1/1000 of it number fewer than 1000 per dimension
+    first = counted.orderBy(F.col("name").isNotNull(), F.desc("n")).limit(1 + HOT_FRACTION * len(out)).collect()
+    total = first[0]["n"] if first and first[0]["name"] is None else 0
+    for row in first[1:]:
+        if row["n"] * HOT_FRACTION > total:
+            dim = layout.star.dimension(row["name"])
+            out[dim.name][dim.bk][row["key"]] = out[dim.name][dim.sk][row["sk"]] = row["n"] / total
     return out
 
 
@@ -278,25 +316,29 @@ def build_fact(
     limit: int = BROADCAST_BYTES,
     gather: bool | None = None,
 ) -> StepReport:
-    """Clean table and dimensions to the fact table.
+    """Clean table and dimensions to the fact table and its rollups.
 
     Broadcast lookups leave rows in the clean table's partitions, so nothing is shuffled;
     a shuffled lookup scatters them and they are gathered again. ``gather`` overrides
-    this, say to write fewer and larger files.
+    this, say to write fewer and larger files. Periods whose surrogate keys have moved since
+    they were built are built again, besides ``periods``.
     """
-    star = layout.star
+    star, store = layout.star, layout.dimensions(spark)
+    if periods is not None:
+        periods = sorted({*periods, *stale_periods(spark, layout)})
     rows = only_periods(layout.read_clean(spark), star.period, periods)
     found = rows.count()
     report = StepReport(star.fact_table, layout.fact, NO_DATA, rows_read=found, rows_written=0)
     if found == 0:
         return report
-    members = with_hot_keys(
-        layout.dimensions(spark).sides(star.dimensions), record_hot_keys(layout, rows, found)
-    )
+    versions = store.last_commits(star.dimensions) if layout.fmt == "parquet" and star.dimensions else {}
+    members = with_hot_keys(store.sides(star.dimensions), record_hot_keys(layout, rows))
     fact = fact_rows(rows, star, members, run_ts, limit)
     if gather is None:
         gather = not all(side.fits(limit) for side in members.values())
     written = overwrite_partitions(fact, layout.fact, star.fact_schema, star.partition_by, layout.fmt, gather)
+    refresh_rollups(spark, layout, periods)
+    _log_build(spark, layout, {name: last["version"] for name, last in versions.items()}, periods)
     return replace(
         report,
         status=SUCCESS,
@@ -306,6 +348,55 @@ def build_fact(
     )
 
 
+def _log_build(spark: SparkSession, layout: Layout, versions: Mapping[str, int], periods: Sequence[str] | None) -> None:
+    if versions:
+        built = [(p, d, v) for p in (periods or [None]) for d, v in versions.items()]
+        rows = spark.createDataFrame(built, "period string, dimension string, version bigint")
+        rows.select(F.current_timestamp().alias("built_at"), "*").coalesce(1).write.mode("append").parquet(layout.builds)
+
+
+def stale_periods(spark: SparkSession, layout: Layout) -> list[str]:
+    """Periods of the fact with a business key whose surrogate key has moved since they were built.
+
+    Nearly always none: the commits say whether a key ever moved. Otherwise the moved keys, a
+    handful, are looked up in the clean table's key column.
+    """
+    star = layout.star
+    if layout.fmt != "parquet" or not star.dimensions or not table_exists(spark, layout.builds):
+        return []
+    store, stale = layout.dimensions(spark), set()
+    last = store.last_commits(star.dimensions)
+    builds = read_table(spark, layout.builds, BUILDS)
+    for dim in star.dimensions:
+        if last[dim.name]["rekeyed_in"] is None:
+            continue
+        moved = store.changes(dim).where(F.col("operation") == REKEY).groupBy(F.col(f"after.{dim.bk}").alias(dim.bk))
+        moved = moved.agg(F.max("version").alias("moved_in"))
+        rows = layout.read_clean(spark).select(dim.bk, star.period).join(moved, dim.bk)
+        held = rows.groupBy(star.period).agg(F.max("moved_in").alias("moved_in")).collect()
+        mine = builds.where(F.col("dimension") == dim.name)
+        every = mine.where("period is null").agg(F.max("version")).first()[0] or 0
+        built = dict(mine.where("period is not null").groupBy("period").agg(F.max("version")).collect())
+        stale |= {r[star.period] for r in held if max(every, built.get(r[star.period], 0)) < r["moved_in"]}
+    return sorted(p for p in stale if p is not None)
+
+
+def refresh_rollups(spark: SparkSession, layout: Layout, periods: Sequence[str] | None = None) -> dict[str, int]:
+    """The star's rollups of ``periods`` summed anew from the fact, those of other periods left as they are.
+
+    A fact partition is summed inside the tasks that read it; what is shuffled is a row per key set and task.
+    """
+    star, rows = layout.star, {}
+    for rollup in star.rollups:
+        schema = star.rollup_schema(rollup)
+        fact = only_periods(layout.read_fact(spark), star.period, periods)
+        keys = dict.fromkeys([star.period, *rollup.own, *[star.dimension(d).sk for d in rollup.dimensions]])
+        sums = [F.sum(m).cast("long").alias(m) for m in star.measures]
+        summed = fact.groupBy(*keys).agg(*sums, F.count(F.lit(1)).alias("n_rows"))
+        rows[rollup.name] = overwrite_partitions(summed, layout.rollup(rollup), schema, [star.period], layout.fmt, gather=True)
+    return rows
+
+
 def transform(
     spark: SparkSession,
     layout: Layout,
@@ -315,10 +406,11 @@ def transform(
     limit: int = BROADCAST_BYTES,
     gather: bool | None = None,
 ) -> list[StepReport]:
-    """Raw table to clean table, dimensions and fact.
+    """Raw table to clean table, dimensions, fact and rollups.
 
     ``periods`` limits what is read of the raw and clean tables, and what is written, to those
-    partitions. Keys are hashes of business keys, so fact rows of other periods stay valid.
+    partitions. Keys are hashes of business keys, so fact rows of other periods stay valid; where a
+    hash was shared and a key had to move, the periods that hold it are built again.
     ``limit`` (bytes up to which a dimension is broadcast) and ``gather`` are ``build_fact``'s.
     """
     cleaned = clean_step(spark, layout, run_ts, periods)
@@ -345,7 +437,8 @@ def full_load(
 def open_mart(spark: SparkSession, layout: Layout, limit: int = BROADCAST_BYTES) -> Mart:
     """The loaded star, ready for views and rankings."""
     members = with_hot_keys(layout.dimensions(spark).sides(layout.star.dimensions), known_hot_keys(spark, layout))
-    return Mart(layout.star, layout.read_fact(spark), members, limit)
+    rollups = {r.name: layout.read_rollup(spark, r) for r in layout.star.rollups if table_exists(spark, layout.rollup(r), layout.fmt)}
+    return Mart(layout.star, layout.read_fact(spark), members, limit, rollups)
 
 
 def publish_views(spark: SparkSession, layout: Layout, prefix: str = "") -> Mart:

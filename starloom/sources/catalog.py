@@ -72,6 +72,18 @@ def reset_table(
     create_table(spark, name, schema, fresh_location, partition_by, comment, fmt)
 
 
+def reset_bucketed(
+    spark: SparkSession, name: str, schema: T.StructType, root: str, folders: Sequence[str], column: str, comment: str = ""
+) -> None:
+    """A table over folders that need not lie together: each is declared as a partition with its own location."""
+    declared = T.StructType([*schema.fields, T.StructField(column, T.IntegerType(), True, {"comment": "Bucket of the key hash"})])
+    reset_table(spark, name, declared, root, [column], comment)
+    for start in range(0, len(folders), 500):
+        parts = [f"PARTITION (`{column}` = {start + i}) LOCATION {_quoted(f)}" for i, f in enumerate(folders[start : start + 500])]
+        spark.sql(f"ALTER TABLE {name} ADD " + " ".join(parts))
+    spark.catalog.refreshTable(name)
+
+
 def refresh_table(spark: SparkSession, name: str, partitioned: bool) -> None:
     """Let the catalog see what was written to the table's path."""
     if partitioned:

@@ -82,7 +82,10 @@ class Source:
 
 @dataclass(frozen=True)
 class Dimension:
-    """Type-1 dimension: surrogate key, business key, attributes, audit timestamps."""
+    """Type-1 dimension: surrogate key, business key, attributes, audit timestamps.
+
+    ``key_bits`` is the width of the hash its surrogate keys are taken from.
+    """
 
     name: str
     sk: str
@@ -92,6 +95,7 @@ class Dimension:
     updated_at: str = "updated_at"
     comments: dict[str, str] = field(default_factory=dict, hash=False)
     comment: str = ""
+    key_bits: int = 64
 
     def comment_of(self, column: str) -> str:
         own = {
@@ -121,6 +125,15 @@ class Layer:
     properties: Mapping[str, str] = field(default_factory=dict, hash=False)
 
 
+@dataclass(frozen=True)
+class Rollup:
+    """Sums of all measures kept per period, some of the fact's own columns and some dimensions' keys."""
+
+    name: str
+    dimensions: tuple[str, ...] = ()
+    own: tuple[str, ...] = ()
+
+
 @dataclass(frozen=True)
 class Star:
     """A source, its dimensions, and the fact that ties them together."""
@@ -132,6 +145,7 @@ class Star:
     period: str
     view: str = "star"
     fact_comment: str = "One row per clean row, with surrogate keys"
+    rollups: tuple[Rollup, ...] = ()
 
     @property
     def partition_by(self) -> tuple[str, ...]:
@@ -151,6 +165,13 @@ class Star:
             + [clean[self.loaded_at]]
         )
 
+    def rollup_schema(self, rollup: Rollup) -> T.StructType:
+        fact = {f.name: f for f in self.fact_schema.fields}
+        own = [fact[c] for c in dict.fromkeys([self.period, *rollup.own])]
+        keys = [fact[self.dimension(d).sk] for d in rollup.dimensions]
+        sums = [_field(m, T.LongType(), f"Sum of {m}") for m in self.measures]
+        return T.StructType([*own, *keys, *sums, _field("n_rows", T.LongType(), "Fact rows summed")])
+
     def dimension(self, name: str) -> Dimension:
         for dim in self.dimensions:
             if dim.name == name:

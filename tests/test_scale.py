@@ -11,7 +11,6 @@ from starloom.operators.dimensions import distinct_members
 from starloom.operators.star import ranking, star_view
 from starloom.plans import Layout, full_load, open_mart, transform
 from starloom.plans.loads import land
-from starloom.sources.commits import DimensionStore, SharedSurrogateKey
 from starloom.sources.delimited import write_mixed_shards
 from starloom.sources.tables import only_periods
 
@@ -72,16 +71,3 @@ def test_mixed_shards_leave_few_files(spark, tables, tmp_path):
     partitions = out.read_raw(spark).select("region", "period").distinct().count()
     for path in (out.raw, out.clean, out.fact):
         assert len(list(Path(path).rglob("*.parquet"))) <= 2 * partitions
-
-
-def test_shared_surrogate_keys_are_refused(spark, tmp_path):
-    store = DimensionStore(spark, str(tmp_path))
-    now = F.current_timestamp()
-    rows = spark.createDataFrame([("a", "x", "1", "c"), ("b", "y", "2", "d")], "supp_cd string, supp_name string, supp_tax_id string, supp_class string")
-    good = rows.select(F.xxhash64("supp_cd").alias("supplier_sk"), "*", now.alias("created_at"), now.alias("updated_at"))
-    store.upsert(SUPPLIER, good)
-    clash = rows.select(F.lit(5).cast("long").alias("supplier_sk"), F.concat("supp_cd", F.lit("2")).alias("supp_cd"), "supp_name",
-                        "supp_tax_id", "supp_class", now.alias("created_at"), now.alias("updated_at"))
-    with pytest.raises(SharedSurrogateKey):
-        store.upsert(SUPPLIER, clash)
-    assert store.log(SUPPLIER).count() == 1 and store.read(SUPPLIER).count() == 2
