@@ -191,6 +191,10 @@ def _late_codes() -> str:
     )
 
 
+# Suppliers whose code ends in 7 have another one from 1998 on.
+RECODED = """SELECT * REPLACE (CASE WHEN period >= '1998' AND supp_cd LIKE '%7' THEN concat('0', supp_cd) ELSE supp_cd END AS supp_cd)
+    FROM clean"""
+
 ORACLE: dict[str, str] = {
     "ingest_delimited": f"WITH {RAW} SELECT * FROM raw",
     "shard_rows": f"WITH {RAW} SELECT concat(region, '-', period) AS shard, count(*) AS n_rows FROM raw GROUP BY 1",
@@ -253,6 +257,43 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT 'dim_customer', 2, 'MERGE', count(*) FILTER (NOT is_gone), count(*) FILTER (is_new),
           count(*) FILTER (changed_safe), count(*) FROM changes""",
+    "scd1_buckets": f"""WITH {PAIRED}, merged AS (SELECT cust_cd, {_merged('changed_safe')} FROM changes)
+        SELECT cust_cd, CASE WHEN cust_cd = (SELECT min(cust_cd) FROM merged) THEN 'renamed' ELSE cust_name END AS cust_name,
+          segment, city_cd FROM merged""",
+    "merge_buckets": f"""WITH {PAIRED}, n AS (
+          SELECT count(*) FILTER (NOT is_new) AS n_old, count(*) FILTER (NOT is_gone) AS n_new, count(*) FILTER (is_new) AS n_added,
+            count(*) FILTER (changed_safe) AS n_changed, count(*) AS n_all FROM changes)
+        SELECT CAST(1 AS BIGINT) AS version, n_old AS rows_source, n_old AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated,
+          CAST(0 AS BIGINT) AS rows_rekeyed, n_old AS rows_total, CAST(NULL AS BIGINT) AS few_rewritten, CAST(0 AS INTEGER) AS in_buckets FROM n
+        UNION ALL SELECT 2, n_new, n_added, n_changed, 0, n_all, NULL, 1 FROM n
+        UNION ALL SELECT 3, n_new, 0, 0, 0, n_all, 0, 1 FROM n
+        UNION ALL SELECT 4, 1, 0, 1, 0, n_all, 1, 1 FROM n""",
+    "change_feed": f"""WITH {PAIRED}
+        SELECT CAST(1 AS BIGINT) AS version, 'insert' AS operation, cust_cd, CAST(NULL AS VARCHAR) AS cust_name_before,
+          CAST(NULL AS VARCHAR) AS segment_before, CAST(NULL AS VARCHAR) AS city_cd_before,
+          o_name AS cust_name_after, o_segment AS segment_after, o_city AS city_cd_after FROM changes WHERE NOT is_new
+        UNION ALL SELECT 2, CASE WHEN is_new THEN 'insert' ELSE 'update' END, cust_cd, o_name, o_segment, o_city, n_name, n_segment, n_city
+        FROM changes WHERE is_new OR changed_safe""",
+    "replayed_versions": f"""WITH {PAIRED}
+        SELECT CAST(1 AS INTEGER) AS version, cust_cd, o_name AS cust_name, o_segment AS segment, o_city AS city_cd FROM changes WHERE NOT is_new
+        UNION ALL SELECT 2, cust_cd, {_merged('changed_safe')} FROM changes""",
+    "shared_hash_keys": f"""WITH {CLEAN}, recoded AS ({RECODED})
+        SELECT supp_cd, CAST(1 AS INTEGER) AS same_key, CAST(1 AS BIGINT) AS n_with_key, CAST(sum(qty_active) AS BIGINT) AS total_active,
+          CAST(sum(qty_active) AS BIGINT) AS total_again FROM recoded GROUP BY supp_cd""",
+    "shared_hash_facts": f"""WITH {CLEAN}, recoded AS ({RECODED})
+        SELECT supp_cd, city_cd, band, CAST(sum(qty_joined) AS BIGINT) AS total FROM recoded GROUP BY supp_cd, city_cd, band""",
+    "rollup_ranking": f"""WITH {STAR}, doubled AS (
+          SELECT *, CASE WHEN period = '1995' THEN 2 ELSE 1 END * qty_joined AS joined FROM star)
+        SELECT 'supplier' AS by, supp_cd AS who, CAST(sum(joined) AS BIGINT) AS total FROM doubled GROUP BY supp_cd, supp_class
+        UNION ALL SELECT 'band', concat_ws('/', region, band), CAST(sum(joined) AS BIGINT) FROM doubled GROUP BY region, band""",
+    "rollup_renewal": f"""WITH {CLEAN}
+        SELECT period, count(*) AS n_rows, CAST(period = '1995' AS INTEGER) AS is_new FROM clean GROUP BY period""",
+    "numbered_ranking": f"""WITH {STAR}, totals AS (
+          SELECT supp_cd, city_cd, CAST(sum(qty_active) AS BIGINT) AS total_active FROM star GROUP BY supp_cd, city_cd)
+        SELECT supp_cd, city_cd, total_active,
+          row_number() OVER (ORDER BY total_active DESC NULLS LAST, supp_cd NULLS LAST, city_cd NULLS LAST) AS place,
+          rank() OVER (ORDER BY total_active DESC NULLS LAST) AS rank, dense_rank() OVER (ORDER BY total_active DESC NULLS LAST) AS dense_rank,
+          total_active / CAST(sum(total_active) OVER () AS BIGINT) AS share FROM totals""",
     "fact_rows": FACT,
     "fact_rows_large_dims": FACT,
     "fact_unknown_members": f"""WITH fact AS ({FACT})

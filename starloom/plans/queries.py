@@ -9,6 +9,7 @@ read a warehouse that was loaded before.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from starloom.models.order_lines import (
 from starloom.operators.clean import clean
 from starloom.operators.dimensions import dimension_rows, latest_members
 from starloom.operators.fact import fact_rows
+from starloom.operators.numbering import numbered
 from starloom.operators.star import Mart, ranking, star_view
 from starloom.plans.catalog import publish_catalog
 from starloom.plans.loads import (
@@ -46,6 +48,7 @@ from starloom.sources.commits import DimensionStore
 from starloom.sources.delimited import read_shards, write_mixed_shards, write_shards
 from starloom.sources.tables import SchemaMismatch
 from starloom.sources.workspace import new_folder
+from starloom.specs import Rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -320,6 +323,155 @@ def merge_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MANY_BUCKETS = 4096  # bytes a bucket: enough buckets at any scale to see which are left alone
+
+
+def _bucketed_customers(spark: SparkSession, sf_dir: str) -> DimensionStore:
+    """Both batches merged into a dimension of many buckets, the second one once more, then one renamed customer."""
+    store = DimensionStore(spark, new_folder(spark, "buckets"), bucket_bytes=MANY_BUCKETS)
+    (old, first), (new, second) = _customer_batches(spark, sf_dir)
+    store.upsert(CUSTOMER, old, first)
+    for _ in range(2):
+        store.upsert(CUSTOMER, new, second)
+    least = store.read(CUSTOMER).agg(F.min(CUSTOMER.bk)).first()[0]
+    one = store.read(CUSTOMER).where(F.col(CUSTOMER.bk) == least).withColumn("cust_name", F.lit("renamed"))
+    store.upsert(CUSTOMER, one, second)
+    return store
+
+
+def scd1_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members after merges that rewrote only the buckets they changed."""
+    return _bucketed_customers(spark, sf_dir).read(CUSTOMER).select(CUSTOMER.bk, *CUSTOMER.attributes)
+
+
+def merge_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The commit log of those merges: none of a merge that changes nothing is rewritten, one bucket for one member."""
+    log = _bucketed_customers(spark, sf_dir).log(CUSTOMER)
+    few = F.when(F.col("version") > 2, F.col("buckets_rewritten"))
+    return log.select(
+        "version", "rows_source", "rows_inserted", "rows_updated", "rows_rekeyed", "rows_total",
+        few.alias("few_rewritten"), (F.size("buckets") > 1).cast("int").alias("in_buckets"),
+    )
+
+
+def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two merges inserted and changed: operation and version, attributes before and after."""
+    store, _ = _merged_customers(spark, sf_dir)
+    shown = [F.col(f"{image}.{a}").alias(f"{a}_{image}") for image in ("before", "after") for a in CUSTOMER.attributes]
+    return store.changes(CUSTOMER).select("version", "operation", F.col(f"after.{CUSTOMER.bk}").alias(CUSTOMER.bk), *shown)
+
+
+def replayed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each version of the customers, from the change feed alone."""
+    store, _ = _merged_customers(spark, sf_dir)
+    versions = [store.replayed(CUSTOMER, v).withColumn("version", F.lit(v)) for v in (1, 2)]
+    return versions[0].union(versions[1]).select("version", CUSTOMER.bk, *CUSTOMER.attributes)
+
+
+# --- keys that hashes share
+
+
+def _narrow_loads(spark: SparkSession, sf_dir: str) -> list[Layout]:
+    """The star with surrogate keys so narrow that many hashes are shared, loaded late and early periods first.
+
+    Suppliers have other codes from 1998 on if theirs ends in 7, so each batch brings members the other lacks.
+    """
+    commits = loaded(spark, sf_dir).dimensions(spark).last_commits(ORDER_LINES.dimensions)
+    dims = [replace(d, key_bits=(3 * commits[d.name]["rows_total"]).bit_length()) for d in ORDER_LINES.dimensions]
+    star, late = replace(ORDER_LINES, dimensions=tuple(dims)), F.col("period") >= NEW_CODE_YEAR
+    recoded = F.when(late & F.col("supp_cd").endswith("7"), F.concat(F.lit("0"), "supp_cd")).otherwise(F.col("supp_cd"))
+    layouts = []
+    for order in ((late, ~late), (~late, late)):
+        layout = Layout(new_folder(spark, "narrow"), star)
+        for batch in order:
+            rows = raw_lines(spark, sf_dir).withColumn("supp_cd", recoded).where(batch)
+            land(rows, layout)
+            # as many values as the raw table has period folders of this batch
+            years = [r[0] for r in layout.read_raw(spark).where(batch).select("period").distinct().collect()]
+            transform(spark, layout, periods=years)
+        layouts.append(layout)
+    return layouts
+
+
+def shared_hash_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers with narrow keys: a key for each, the same whichever periods came first, and their totals right."""
+    one, other = _narrow_loads(spark, sf_dir)
+    dim = one.star.dimension(SUPPLIER.name)
+    keys = one.dimensions(spark).read(dim).select(dim.bk, dim.sk)
+    others = other.dimensions(spark).read(dim).select(dim.bk, F.col(dim.sk).alias("_sk"))
+    shared = keys.groupBy(dim.sk).agg(F.count(F.lit(1)).alias("n_with_key"))
+    same = keys.join(others, dim.bk).join(shared, dim.sk)
+    same = same.select(dim.bk, (F.col(dim.sk) == F.col("_sk")).cast("int").alias("same_key"), "n_with_key")
+    for name, layout in (("total_active", one), ("total_again", other)):
+        totals = ranking(open_mart(spark, layout), [dim.bk], "qty_active", name)
+        same = same.join(totals, dim.bk, "left")
+    return same
+
+
+def shared_hash_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by members of all three dimensions, joined on narrow keys, after periods came in two batches."""
+    one, _ = _narrow_loads(spark, sf_dir)
+    return ranking(open_mart(spark, one), ["supp_cd", "city_cd", "band"], "qty_joined", "total")
+
+
+# --- rollups
+
+
+ROLLED = replace(
+    ORDER_LINES,
+    rollups=(Rollup("supplier", ("dim_supplier",)), Rollup("city_and_band", ("dim_city", "dim_band"), ("region",))),
+)
+
+
+def _rolled(spark: SparkSession, sf_dir: str) -> tuple[Layout, DataFrame]:
+    """A star with rollups, loaded whole, then 1995 delivered again with doubled numbers; the rollup files before that."""
+    layout, rows = Layout(new_folder(spark, "rolled"), ROLLED), raw_lines(spark, sf_dir)
+    land(rows, layout)
+    transform(spark, layout)
+    path = F.col("_metadata.file_path").alias("path")
+    before = spark.read.parquet(layout.rollup(ROLLED.rollups[0])).select("period", path).distinct()
+    folder = new_folder(spark, "rollup-files")
+    before.write.parquet(folder)
+    again = rows.where(F.col("period") == "1995")
+    land(again.withColumn("qty_joined", (F.col("qty_joined").cast("int") * 2).cast("string")), layout)
+    transform(spark, layout, periods=["1995"])
+    return layout, spark.read.parquet(folder)
+
+
+def rollup_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers and region bands ranked from the rollups after one period was loaded again."""
+    layout, _ = _rolled(spark, sf_dir)
+    # a fact without rows: the totals can only come from rollups
+    mart = open_mart(spark, layout)
+    mart = replace(mart, fact=mart.fact.where("false"))
+    suppliers = ranking(mart, ["supp_cd", "supp_class"], "qty_joined").select(F.lit("supplier").alias("by"), F.col("supp_cd").alias("who"), "total")
+    bands = ranking(mart, ["region", "band"], "qty_joined")
+    return suppliers.union(bands.select(F.lit("band"), F.concat_ws("/", "region", "band"), "total"))
+
+
+def rollup_renewal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per period: fact rows the rollup counts, and whether its files are new after 1995 was loaded again."""
+    layout, before = _rolled(spark, sf_dir)
+    now = spark.read.parquet(layout.rollup(ROLLED.rollups[0])).withColumn("path", F.col("_metadata.file_path"))
+    old = before.select(F.col("path").alias("old_path"))
+    marked = now.join(old, F.col("path") == F.col("old_path"), "left")
+    return marked.groupBy(F.col("period").cast("string").alias("period")).agg(
+        F.sum("n_rows").alias("n_rows"), F.max(F.col("old_path").isNull().cast("int")).alias("is_new")
+    )
+
+
+def numbered_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier and city pairs by active quantity, with place, rank, dense rank and share."""
+    totals = ranking(_mart(spark, sf_dir), ["supp_cd", "city_cd"], "qty_active", "total_active")
+
+    def stored(rows: DataFrame, label: str) -> DataFrame:
+        folder = new_folder(spark, label)
+        rows.write.parquet(folder)
+        return spark.read.schema(rows.schema).parquet(folder)
+
+    return numbered(totals, "total_active", ["supp_cd", "city_cd"], stored)
+
+
 # --- fact and star
 
 
@@ -523,6 +675,15 @@ QUERIES: dict[str, Query] = {
     "scd1_null_key": scd1_null_key,
     "scd1_idempotent": scd1_idempotent,
     "merge_metrics": merge_metrics,
+    "scd1_buckets": scd1_buckets,
+    "merge_buckets": merge_buckets,
+    "change_feed": change_feed,
+    "replayed_versions": replayed_versions,
+    "shared_hash_keys": shared_hash_keys,
+    "shared_hash_facts": shared_hash_facts,
+    "rollup_ranking": rollup_ranking,
+    "rollup_renewal": rollup_renewal,
+    "numbered_ranking": numbered_ranking,
     "fact_rows": fact_lines,
     "fact_rows_large_dims": fact_lines_large_dims,
     "fact_unknown_members": fact_unknown_members,
