@@ -4,16 +4,23 @@ Rules name a host and a path; a rule fits its host and all subdomains when the u
 with the rule's, and the longest rule wins (of equally long ones that with the longer host).
 
 Hosts whose pages rules allow are trusted seeds, those whose pages rules block are distrusted
-seeds, each weighted by the number of such pages. Personalised PageRank carries trust along the
-links between hosts, and distrust against them: who links to blocked hosts is suspect. A host is
-blocked when its distrust reaches ``LEAST`` and ``RATIO`` times its trust; otherwise allowed.
-
-Masses are whole numbers and divisions round down, so results do not depend on the order of sums.
-Links are counted per pair of hosts before anything is joined. All of it is column expressions.
+seeds, each page a unit of mass. Personalised PageRank carries trust along the links between
+hosts, and distrust against them: who links to blocked hosts is suspect. A host is blocked when its
+distrust is ``RATIO`` times its trust or more, and at least a ``LEAST``-th of a unit for each of its own
+pages. Both are relative: neither other hosts' seeds nor a corpus in which every page stands k times
+change a verdict.
+
+Mass goes out in waves, host by host. A host keeps its share of every wave and passes on the rest;
+what is left of a wave at a host goes no further when it is below a ``DROP``-th of a unit. Waves go on until
+none is left, however long the chains of links are. Masses are whole numbers and divisions round
+down, so results do not depend on the order of sums. Links are counted per pair of hosts before
+anything is joined. All of it is column expressions.
 
 Results for odd rows: null urls and urls without ``://`` have an empty host and path, fit no rule
-and are allowed. A null html has no links. Repeated rows are judged each and count each as links.
-Other columns are ignored. With no pages there are no hosts and no rows.
+and are allowed. A null html has no links. Very long html is searched whole, in time that grows with its
+length; a link is an ``a`` tag up to its first ``<`` or ``>``. Repeated rows are judged each and count each as
+links and seeds. Equally long rules that both fit: the one with the longer host. Distrust that ties with
+trust blocks. Other columns are ignored. With no pages there are no hosts and no rows.
 """
 
 from __future__ import annotations
@@ -27,17 +34,15 @@ from pyspark.sql import functions as F
 from starloom.llm.common import table, with_group, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LINK = r"(?i)<a\s[^>]*?href\s*=\s*[\"']?(?:https?:)?//([^/\"'?#>\s]+)"
-#: Whole units of trust, and of distrust, that all seeds share.
-MASS = 1_000_000_000_000
+LINK = r"(?i)<a\s[^<>]*?href\s*=\s*[\"']?(?:https?:)?//([^/\"'?#>\s]+)"
+#: Mass of one seed page.
+UNIT = 1_000_000
 DAMPING_PCT = 85
-ROUNDS = 8
-#: A host with less distrust than a millionth of all is not blocked.
-LEAST, RATIO = MASS // 1_000_000, 1
+RATIO, LEAST = 1, 1000
+#: A wave at a host ends when it is smaller than this part of a seed page.
+DROP = 10_000
 #: Rules are a parameter and become part of the plan.
 MAX_RULES = 1000
-#: Rounds between two written tables.
-WRITE_EVERY = 4
 
 
 class Rule(NamedTuple):
@@ -109,43 +114,39 @@ def host_links(pages: DataFrame) -> DataFrame:
     return found.where("src <> '' and dst <> src").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def carried(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(kind, host, mass) after ``rounds`` rounds from ``seeds`` (kind, host, mass); kind trust follows links, distrust goes against them."""
+def carried(seeds: DataFrame, links: DataFrame) -> DataFrame:
+    """(kind, host, mass) from stored ``seeds`` (kind, host, mass); kind trust follows links, distrust goes against them."""
     ahead = links.select(F.lit("trust").alias("kind"), F.col("src").alias("from"), F.col("dst").alias("to"), "n")
     back = links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("from"), F.col("src").alias("to"), "n")
     edges = ahead.union(back)
     outward = edges.groupBy("kind", "from").agg(F.sum("n").alias("all_n"))
     edges = written(edges.join(outward, ["kind", "from"]), "edges")
-    start = seeds.select("kind", "host", F.expr(f"mass * {100 - DAMPING_PCT} div 100").alias("mass"))
-    now = seeds
-    for k in range(rounds):
-        # decimals: masses times counts outgrow 64 bits
-        moved = F.expr(
-            f"cast(mass as decimal(19,0)) * cast(n as decimal(18,0)) div cast(all_n as decimal(19,0)) * {DAMPING_PCT} div 100"
-        )
-        gone = now.withColumnRenamed("host", "from").join(edges, ["kind", "from"]).select(
-            "kind", F.col("to").alias("host"), moved.alias("mass")
-        )
-        now = gone.union(start).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
-        if k % WRITE_EVERY == WRITE_EVERY - 1:
-            now = written(now, "masses")
-    return now
+    # decimals: masses times counts outgrow 64 bits
+    moved = F.expr(f"cast(cast(mass as decimal(19,0)) * cast(n as decimal(18,0)) div cast(all_n as decimal(19,0)) * {DAMPING_PCT} div 100 as bigint)")
+    wave, kept = seeds, None
+    while True:
+        own = wave.select("kind", "host", F.expr(f"mass * {100 - DAMPING_PCT} div 100").alias("mass"))
+        kept = own if kept is None else kept.union(own).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
+        kept = written(kept, "masses")
+        gone = wave.withColumnRenamed("host", "from").join(edges, ["kind", "from"])
+        gone = gone.select("kind", F.col("to").alias("host"), moved.alias("mass")).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
+        wave = written(gone.where(F.col("mass") * DROP >= UNIT), "wave")
+        if wave.isEmpty():
+            return kept
 
 
 def host_verdicts(hosts: DataFrame, links: DataFrame) -> DataFrame:
-    """(host, m, by_host) of ``hosts`` (host, m pages, allowed, blocked)."""
+    """(host, m, by_host, trust, distrust) of ``hosts`` (host, m pages, allowed, blocked)."""
     both = hosts.select(
         "host", F.explode(F.create_map(F.lit("trust"), F.col("allowed"), F.lit("distrust"), F.col("blocked"))).alias("kind", "n")
     ).where("n > 0")
-    # two rows: the whole of each kind
-    whole = both.groupBy("kind").agg(F.sum("n").alias("all_n"))
-    share = F.expr(f"cast(n as decimal(19,0)) * cast({MASS} as decimal(18,0)) div cast(all_n as decimal(19,0))")
-    seeds = written(both.join(F.broadcast(whole), "kind").select("kind", "host", share.alias("mass")), "seeds")
+    seeds = written(both.select("kind", "host", (F.col("n") * UNIT).alias("mass")), "seeds")
     masses = carried(seeds, links).groupBy("host").agg(
         F.sum(F.when(F.col("kind") == "trust", F.col("mass")).otherwise(0)).alias("trust"),
         F.sum(F.when(F.col("kind") == "distrust", F.col("mass")).otherwise(0)).alias("distrust"),
     )
-    bad = (F.col("distrust") >= LEAST) & (F.col("distrust") >= RATIO * F.col("trust"))
+    enough = F.col("distrust").cast("decimal(38,0)") * LEAST >= F.col("m").cast("decimal(20,0)") * UNIT
+    bad = enough & (F.col("distrust") >= RATIO * F.col("trust"))
     return hosts.join(masses, "host", "left").select(
         "host", "m", F.when(F.coalesce(bad, F.lit(False)), "block").otherwise("allow").alias("by_host"),
         F.coalesce("trust", F.lit(0)).alias("trust"), F.coalesce("distrust", F.lit(0)).alias("distrust"),
@@ -174,7 +175,7 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    parts = f"""
+    return f"""
 WITH RECURSIVE u AS (
     SELECT page_id, html, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), p AS (
@@ -193,22 +194,21 @@ WITH RECURSIVE u AS (
     SELECT kind, a, b, n, sum(n) OVER (PARTITION BY kind, a) AS all_n FROM (
         SELECT 'trust' AS kind, src AS a, dst AS b, n FROM pair UNION ALL SELECT 'distrust', dst, src, n FROM pair)
 ), seed AS (
-    SELECT kind, host, CAST({MASS}::HUGEINT * n // sum(n) OVER (PARTITION BY kind) AS BIGINT) AS mass FROM (
-        SELECT CASE verdict WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host, count(*) AS n
-        FROM e WHERE verdict IS NOT NULL AND host <> '' GROUP BY ALL)
-), m0 AS (SELECT * FROM seed)"""
-    for k in range(1, ROUNDS + 1):
-        parts += f""", m{k} AS (
-    SELECT kind, host, CAST(sum(mass) AS BIGINT) AS mass FROM (
-        SELECT kind, host, mass * {100 - DAMPING_PCT} // 100 AS mass FROM seed
-        UNION ALL SELECT m.kind, b, CAST(mass::HUGEINT * n // all_n * {DAMPING_PCT} // 100 AS BIGINT)
-        FROM m{k - 1} m JOIN edge ON m.kind = edge.kind AND m.host = a) GROUP BY ALL)"""
-    return parts + f""", v AS (
-    SELECT host, coalesce(sum(mass) FILTER (kind = 'trust'), 0) AS t, coalesce(sum(mass) FILTER (kind = 'distrust'), 0) AS d
-    FROM m{ROUNDS} GROUP BY host)
+    SELECT CASE verdict WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host, count(*) * {UNIT} AS mass
+    FROM e WHERE verdict IS NOT NULL AND host <> '' GROUP BY ALL
+), wave AS (
+    SELECT kind, host, CAST(mass AS HUGEINT) AS mass, 0 AS k FROM seed
+    UNION ALL
+    SELECT edge.kind, b, CAST(sum(mass * n // CAST(all_n AS HUGEINT) * {DAMPING_PCT} // 100) AS HUGEINT), k + 1
+    FROM wave JOIN edge ON wave.kind = edge.kind AND host = a GROUP BY edge.kind, b, k
+    HAVING sum(mass * n // CAST(all_n AS HUGEINT) * {DAMPING_PCT} // 100) * {DROP} >= {UNIT}
+), size AS (SELECT host, count(*) AS m FROM e GROUP BY host
+), v AS (
+    SELECT host, coalesce(sum(mass * {100 - DAMPING_PCT} // 100) FILTER (kind = 'trust'), 0) AS t,
+        coalesce(sum(mass * {100 - DAMPING_PCT} // 100) FILTER (kind = 'distrust'), 0) AS d FROM wave GROUP BY host)
 SELECT page_id, e.host, path, rule,
-    coalesce(verdict, CASE WHEN d >= {LEAST} AND d >= {RATIO} * t THEN 'block' ELSE 'allow' END) AS verdict
-FROM e LEFT JOIN v ON e.host = v.host
+    coalesce(verdict, CASE WHEN d * {LEAST} >= m * {UNIT} AND d >= {RATIO} * t THEN 'block' ELSE 'allow' END) AS verdict
+FROM e LEFT JOIN v ON e.host = v.host LEFT JOIN size ON e.host = size.host
 """
 
 

@@ -1,6 +1,10 @@
+import time
 from collections import Counter
+from pathlib import Path
 
-from starloom.llm.url_rules import DAMPING_PCT, LEAST, MASS, RATIO, ROUNDS, RULES, Rule, host_links, judged
+import duckdb
+
+from starloom.llm.url_rules import DAMPING_PCT, DROP, LEAST, LINK, ORACLE_OP9, RATIO, RULES, UNIT, Rule, host_links, judged, op9_url_filters
 
 SCHEMA = "page_id bigint, url string, html string, host string, m int"
 
@@ -21,17 +25,18 @@ def ruled(host, path, rules=RULES):
 
 
 def carried(seeds, edges):
-    out, mass = Counter(), {k: MASS * n // sum(seeds.values()) for k, n in seeds.items()}
     whole = Counter()
     for (a, _), n in edges.items():
         whole[a] += n
-    now = dict(mass)
-    for _ in range(ROUNDS):
-        out = Counter({h: m * (100 - DAMPING_PCT) // 100 for h, m in mass.items()})
+    kept, wave = Counter(), {h: n * UNIT for h, n in seeds.items()}
+    while wave:
+        out = Counter()
+        for h, m in wave.items():
+            kept[h] += m * (100 - DAMPING_PCT) // 100
         for (a, b), n in edges.items():
-            out[b] += now.get(a, 0) * n // whole[a] * DAMPING_PCT // 100
-        now = out
-    return now
+            out[b] += wave.get(a, 0) * n // whole[a] * DAMPING_PCT // 100
+        wave = {h: m for h, m in out.items() if m * DROP >= UNIT}
+    return kept
 
 
 def link(*hosts):
@@ -60,11 +65,11 @@ def test_trust_and_distrust_follow_the_links(spark):
             seeds[r.verdict][parts(url)[0]] += 1
     trust = carried(seeds["allow"], edges)
     distrust = carried(seeds["block"], {(b, a): n for (a, b), n in edges.items()})
-    want = []
+    want, size = [], Counter(parts(url)[0] for _, url, _ in rows)
     for page, url, _ in rows:
         host, path = parts(url)
         r = ruled(host, path)
-        bad = distrust.get(host, 0) >= LEAST and distrust.get(host, 0) >= RATIO * trust.get(host, 0)
+        bad = distrust[host] * LEAST >= size[host] * UNIT and distrust[host] >= RATIO * trust[host]
         want.append((page, host, path, r.text if r else None, r.verdict if r else ("block" if host and bad else "allow")))
     got = [tuple(r) for r in judged(frame).select("page_id", "host", "path", "rule", "verdict").collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
@@ -77,3 +82,47 @@ def test_no_pages_and_no_rules(spark):
     assert judged(frame.where("false")).count() == 0
     assert judged(frame, []).first()["verdict"] == "allow"
     assert judged(frame, [Rule("a", "/", "block")]).first()["rule"] == "a/"
+
+
+def verdicts(spark, rows):
+    frame = spark.createDataFrame([(i, *r, "h", 1) for i, r in enumerate(rows)], SCHEMA)
+    return {(r.host, r.path): r.verdict for r in judged(frame).collect()}
+
+
+def test_a_long_chain_of_links(spark):
+    """Distrust goes back link by link until its share of a seed page is too small, not until some round."""
+    chain = [(f"http://h{i}.org/", link(f"h{i + 1}.org" if i < 39 else "bad.net")) for i in range(40)]
+    got = verdicts(spark, [*chain, ("http://bad.net/es/x", ""), ("http://bad.net/es/y", "")])
+    blocked = [i for i in range(40) if got[f"h{i}.org", "/"] == "block"]
+    assert len(blocked) > 20 and blocked == list(range(min(blocked), 40))
+
+
+def test_verdicts_do_not_change_with_the_number_of_seeds(spark):
+    rows = [("http://one.net/fr/x", ""), ("http://one.net/y", ""), ("http://fan.org/", link("one.net")), ("http://two.org/", link("fan.org", "good.com")),
+            ("http://good.com/", link("ok.org")), ("http://ok.org/", link("one.net"))]
+    alone = verdicts(spark, rows)
+    assert alone["one.net", "/y"] == alone["fan.org", "/"] == "block" and alone["ok.org", "/"] == "allow"
+    others = [(f"http://x{i}.net/es/", "") for i in range(2000)] + [(f"http://x{i}.com/", "") for i in range(2000)]
+    assert alone.items() <= verdicts(spark, rows + others).items()
+    assert verdicts(spark, rows * 300) == alone
+
+
+def test_links_are_found_in_linear_time(spark):
+    for html in ("<a " * 100_000, "<a href " * 50_000, "<a href=" + " " * 400_000, "<a x='" * 100_000 + "//", '<a href="//h.org/">' * 30_000):
+        began = time.perf_counter()
+        rows = spark.createDataFrame([(1, "http://a.org/", html, "h", 1)], SCHEMA)
+        assert host_links(rows).count() == ("//h.org" in html)
+        assert time.perf_counter() - began < 10
+    assert "[^>]" not in LINK
+
+
+def test_sql_on_pages_that_link(spark, tmp_path):
+    """The given pages hold relative links only, so the statement is also run on some that do not."""
+    hosts = [f"h{i}.{'net' if i % 3 == 0 else 'com' if i == 1 else 'org'}" for i in range(36)]
+    rows = [(k, f"http://{hosts[k % 36]}/{('es', 'x', 'fr', 'en')[k % 4]}/{k}", link(hosts[k * 7 % 36], hosts[k * k % 36])) for k in range(150)]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{Path(tmp_path)}/pages.parquet/*.parquet'")
+    want = con.execute(ORACLE_OP9).fetchall()
+    got = [tuple(r) for r in op9_url_filters(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and {r[4] for r in got if r[3] is None} == {"allow", "block"}
