@@ -39,6 +39,15 @@ def written(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
+def with_row_ids(docs: DataFrame, name: str) -> DataFrame:
+    """A stored copy of ``docs`` with column ``name``, a number for each row.
+
+    Rows are told apart by it where doc_ids repeat or are null. The copy is written, so that
+    whoever reads it, and however often a lost task runs again, finds the same numbers.
+    """
+    return written(docs.withColumn(name, F.monotonically_increasing_id()), "rows")
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import U64, Words, blocks, mix, signed, small_batches, table, written
+from starloom.llm.common import U64, Words, blocks, mix, signed, small_batches, table, with_row_ids, written
 
 UNIT = 64
 K1, B = 1.2, 0.75
@@ -268,10 +268,11 @@ def leaks(docs: DataFrame, items: DataFrame, **options: float) -> DataFrame:
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that hold no test item."""
-    found = leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_id")).distinct()
-    found = written(found, "leaks")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]), "left_anti")
+    """The documents that hold no test item; each row is judged by its own text, whatever other rows have its doc_id."""
+    rows = with_row_ids(docs, "__row")
+    found = leaks(rows.select(F.col("__row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    found = written(found.select(F.col("doc_id").alias("__row")).distinct(), "leaks")
+    return rows.join(found, "__row", "left_anti").select(*docs.columns)
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,6 +45,7 @@ from starloom.llm.common import (
     table,
     with_group,
     written,
+    with_row_ids,
 )
 
 SHINGLE = 5
@@ -355,10 +356,18 @@ def _wordless() -> F.Column:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that name their class; of rows that share such a doc_id, all."""
-    first = linked_classes(docs).where("doc_id is null or doc_id = class_id").select(F.col("doc_id").alias("_id")).distinct()
-    first = first.hint("merge")  # most ids: nothing to broadcast
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["_id"]), "left_semi")
+    """One row of every class, that with the smallest doc_id (null last; of rows that share it any one, the same at every attempt).
+
+    Texts without words have nothing in common and all stay.
+    """
+    rows = with_row_ids(docs, "__row")
+    # rows take part under a number that orders them by doc_id where that is possible
+    classes = linked_classes(rows.select(F.col("__row").alias("doc_id"), "text"))
+    classes = classes.select(F.col("doc_id").alias("__row"), F.col("class_id").alias("__class"))
+    named = written(rows.select("__row", "doc_id").join(classes.hint("merge"), "__row"), "row-classes")
+    first = named.groupBy("__class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__row")).alias("first"))
+    others = named.join(first.select("__class", F.col("first.__row").alias("__first")).hint("merge"), "__class").where("__row <> __first")
+    return rows.join(written(others.select("__row"), "others").hint("merge"), "__row", "left_anti").select(*docs.columns)
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,25 +75,29 @@ def permuted_text(text: Column, key: str, kind: str, hexadecimal: bool = False,
     start = F.struct(F.left(text, half).alias("l"), F.right(text, F.length(text) - half).alias("r"))
 
     def moved(side: Column, other: Column, i: Column) -> Column:
-        digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), i.cast("string"), F.length(side).cast("string"), other), 256)
+        said = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), i.cast("string"), F.length(side).cast("string"), other), 256)
 
-        def one(c: Column, j: Column) -> Column:
-            by = F.conv(F.substring(digest, (j % 32) * 2 + 1, F.lit(2)), 16, 10).cast("int")
-            if hexadecimal:
-                digits = F.lit("0123456789abcdef")
-                return F.substring(digits, (F.instr(digits, c) - 1 + by) % 16 + 1, F.lit(1))
+        def all_moved(digest: Column) -> Column:
+            def one(c: Column, j: Column) -> Column:
+                by = F.conv(F.substring(digest, (j % 32) * 2 + 1, F.lit(2)), 16, 10).cast("int")
+                if hexadecimal:
+                    digits = F.lit("0123456789abcdef")
+                    return F.substring(digits, (F.instr(digits, c) - 1 + by) % 16 + 1, F.lit(1))
 
-            def within(first: str, size: int) -> Column:
-                return F.char(F.lit(ord(first)) + (F.ascii(c) - ord(first) + by) % size)
+                def within(first: str, size: int) -> Column:
+                    return F.char(F.lit(ord(first)) + (F.ascii(c) - ord(first) + by) % size)
 
-            return (
-                F.when(c.between("a", "z"), within("a", letters))
-                .when(c.between("A", "Z"), within("A", letters))
-                .when(c.between("0", "9"), within("0", 10))
-                .otherwise(c)
-            )
+                return (
+                    F.when(c.between("a", "z"), within("a", letters))
+                    .when(c.between("A", "Z"), within("A", letters))
+                    .when(c.between("0", "9"), within("0", 10))
+                    .otherwise(c)
+                )
 
-        return F.array_join(F.transform(F.split(side, ""), one), "")
+            return F.array_join(F.transform(F.split(side, ""), one), "")
+
+        # the digest is bound as an element, so that it is taken once and not for every character
+        return F.transform(F.array(said), all_moved)[0]
 
     def turn(acc: Column, i: Column) -> Column:
         on_left = F.struct(moved(acc["l"], acc["r"], i).alias("l"), acc["r"].alias("r"))

@@ -9,7 +9,7 @@ times what chance does to a mean of few characters, and for languages of few tex
 median and the deviation of so few may be off.
 
 Results for odd rows: a null or empty text has no words and fails the base rules. A null
-language is a language of its own. Repeated rows are judged each. Ties need no rule: every
+language and an empty one are one language. Very long texts are taken whole. Repeated rows are judged each. Ties need no rule: every
 document is judged by itself against bands that are exact for the given rows (medians of
 histograms with bins of a thousandth of a nat). Other columns are carried through; those named
 like a result are replaced.
@@ -39,6 +39,7 @@ from starloom.llm.common import (
     signed,
     small_batches,
     table,
+    with_row_ids,
     written,
 )
 
@@ -540,10 +541,11 @@ def judged(docs: DataFrame, width: float = WIDTH, shard_rows: int = SHARD_ROWS)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that every rule keeps, with their columns; of rows that share a doc_id all, if any is good."""
-    verdicts = judged(docs).where("kept").select(F.col("doc_id").alias("_good")).distinct()
-    verdicts = verdicts.hint("merge")  # most ids: nothing to broadcast
-    return docs.join(verdicts, docs["doc_id"].eqNullSafe(verdicts["_good"]), "left_semi")
+    """The documents that every rule keeps, with their columns; each row is judged by its own text and language."""
+    rows = with_row_ids(docs, "__row")
+    verdicts = judged(rows.select(F.col("__row").alias("doc_id"), "lang", "text"))
+    rejected = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("__row"))
+    return rows.join(written(rejected, "rejected"), "__row", "left_anti").select(*docs.columns)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -217,7 +217,7 @@ def test_every_format_equals_brute_force(spark):
 @pytest.mark.parametrize(
     "text",
     ["a1@b" + ".c" * 500_000, "a@" + "b" * 1_000_000, "a." * 500_000, "a" * 1_000_000 + "@", "1" * 1_000_000, "1." * 500_000, "1 " * 500_000,
-     "." * 1_000_000, "token=" + "a" * 1_000_000, "token = " * 100_000, "1234-" * 200_000, "1234 " * 200_000, "a@b.c " * 20_000, "@" * 1_000_000, "+1 (" * 250_000],
+     "." * 1_000_000, "token=" + "a1" * 50_000, "token = " * 100_000, "1234-" * 200_000, "1234 " * 200_000, "a@b.c " * 20_000, "@" * 1_000_000, "+1 (" * 250_000],
     ids=lambda t: t[:8],
 )
 def test_very_long_texts_are_no_danger(spark, text):
