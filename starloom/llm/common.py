@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import os
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -16,7 +18,7 @@ from starloom.sources.workspace import new_folder
 #: first and gathered by size (``blocks``) afterwards.
 BATCH_ROWS = 256
 #: Characters of text that one numpy pass holds.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_500_000
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -132,8 +134,25 @@ def blocks(batches: Iterable[pa.RecordBatch], text: str, chars: int = BLOCK_CHAR
         if size >= chars:
             yield from _cut(pa.Table.from_batches(held), text, chars)
             held, size = [], 0
+            give_back()
     if held:
         yield from _cut(pa.Table.from_batches(held), text, chars)
+        held = []
+    give_back()
+
+
+def give_back() -> None:
+    """Freed memory back to the system: workers outlive their tasks, and what they keep adds to the next stage's."""
+    pa.default_memory_pool().release_unused()
+    trim = _trim()
+    if trim:
+        trim(0)
+
+
+@functools.cache
+def _trim():
+    """The C library's call that returns freed memory, where it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None
 
 
 def _cut(rows: pa.Table, text: str, chars: int) -> Iterator[pa.Table]:

@@ -44,7 +44,7 @@ POSTING_BLOCK = 8
 #: Units of one index shard; every shard is one pass over the documents. A shard has at most
 #: ``UNIT`` postings a unit, so its broadcast stays below about 30 MB.
 SHARD_UNITS = 20_000
-CELLS = 4_000_000
+CELLS = 1_000_000
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
