@@ -12,6 +12,17 @@ from starloom.operators.lookup import BROADCAST_BYTES, Side, left_lookup
 from starloom.specs import Dimension, Rollup, Star
 
 
+@dataclass(frozen=True)
+class CoBucketed:
+    """Fact rows and one dimension's members in equal buckets; rows of hot keys apart, with their members."""
+
+    dimension: str
+    rows: DataFrame
+    members: DataFrame
+    hot_rows: DataFrame
+    hot_members: Side
+
+
 @dataclass(frozen=True)
 class Mart:
     """A loaded star: its spec, the fact, the dimension members and the rollups by name."""
@@ -21,6 +32,7 @@ class Mart:
     members: Mapping[str, Side]
     limit: int = BROADCAST_BYTES
     rollups: Mapping[str, DataFrame] = field(default_factory=dict)
+    cobucketed: CoBucketed | None = None
 
 
 def _needed(mart: Mart, columns: Sequence[str]) -> list[tuple[Dimension, list[str]]]:
@@ -44,6 +56,20 @@ def _with_members(rows: DataFrame, mart: Mart, columns: Sequence[str], summed: b
     return joined
 
 
+def _by_bucket(mart: Mart, rows: DataFrame, hot_rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Both parts of the fact with the co-bucketed members: bucket with bucket, hot keys by lookup."""
+    co = mart.cobucketed
+    sk, taken = next((d.sk, taken) for d, taken in _needed(mart, columns) if d.name == co.dimension)
+    joined = rows.join(co.members.select(sk, *taken).hint("merge"), sk, "left")
+    return joined.unionByName(left_lookup(hot_rows, co.hot_members.select(sk, *taken), sk, limit=mart.limit))
+
+
+def _bucketed_columns(mart: Mart, columns: Sequence[str]) -> list[str]:
+    """Those of ``columns`` that come from the co-bucketed dimension."""
+    name = mart.cobucketed.dimension if mart.cobucketed else None
+    return [c for dim, taken in _needed(mart, columns) if dim.name == name for c in taken]
+
+
 def star_view(mart: Mart, columns: Sequence[str] | None = None) -> DataFrame:
     """Fact rows with dimension members in place of surrogate keys.
 
@@ -51,6 +77,10 @@ def star_view(mart: Mart, columns: Sequence[str] | None = None) -> DataFrame:
     are not joined; with unique surrogate keys that leaves the rows unchanged.
     """
     chosen = mart.star.view_columns if columns is None else list(columns)
+    near = _bucketed_columns(mart, chosen)
+    if near:
+        rows = _by_bucket(mart, mart.cobucketed.rows, mart.cobucketed.hot_rows, chosen)
+        return _with_members(rows, mart, [c for c in chosen if c not in near]).select(*chosen)
     return _with_members(mart.fact, mart, chosen).select(*chosen)
 
 
@@ -83,7 +113,16 @@ def ranking(
     own = [c for c in by if mart.star.dimension_of(c) is None]
     rollup = covering_rollup(mart, own, dims) if measure in mart.star.measures else None
     rows = mart.fact if rollup is None else mart.rollups[rollup.name]
-    per_key = rows.groupBy(*own, *[d.sk for d in dims]).agg(F.sum(measure).alias("_part"))
-    totals = _with_members(per_key, mart, by, summed=True).groupBy(*by).agg(F.sum("_part").alias(total))
+
+    def summed(part: DataFrame) -> DataFrame:
+        return part.groupBy(*own, *[d.sk for d in dims]).agg(F.sum(measure).alias("_part"))
+
+    near = _bucketed_columns(mart, by) if rollup is None else []
+    if near:
+        per_key = _by_bucket(mart, summed(mart.cobucketed.rows), summed(mart.cobucketed.hot_rows), by)
+    else:
+        per_key = summed(rows)
+    rest = [c for c in by if c not in near]
+    totals = _with_members(per_key, mart, rest, summed=True).groupBy(*by).agg(F.sum("_part").alias(total))
     ordered = totals.orderBy(F.desc_nulls_last(total), *[F.asc_nulls_last(c) for c in by])
     return ordered if limit is None else ordered.limit(limit)

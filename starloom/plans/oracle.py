@@ -195,6 +195,12 @@ def _late_codes() -> str:
 RECODED = """SELECT * REPLACE (CASE WHEN period >= '1998' AND supp_cd LIKE '%7' THEN concat('0', supp_cd) ELSE supp_cd END AS supp_cd)
     FROM clean"""
 
+TOP_SUPPLIERS = f"""WITH {STAR}
+    SELECT supp_cd, supp_name, supp_class, CAST(sum(qty_active) AS BIGINT) AS total_active
+    FROM star GROUP BY supp_cd, supp_name, supp_class
+    ORDER BY total_active DESC NULLS LAST, supp_cd NULLS LAST, supp_name NULLS LAST, supp_class NULLS LAST
+    LIMIT 5"""
+
 ORACLE: dict[str, str] = {
     "ingest_delimited": f"WITH {RAW} SELECT * FROM raw",
     "shard_rows": f"WITH {RAW} SELECT concat(region, '-', period) AS shard, count(*) AS n_rows FROM raw GROUP BY 1",
@@ -302,11 +308,12 @@ ORACLE: dict[str, str] = {
         FROM fact GROUP BY region""",
     "star_view": STAR_ROWS,
     "star_view_large_dims": STAR_ROWS,
-    "top_suppliers": f"""WITH {STAR}
-        SELECT supp_cd, supp_name, supp_class, CAST(sum(qty_active) AS BIGINT) AS total_active
-        FROM star GROUP BY supp_cd, supp_name, supp_class
-        ORDER BY total_active DESC NULLS LAST, supp_cd NULLS LAST, supp_name NULLS LAST, supp_class NULLS LAST
-        LIMIT 5""",
+    "star_view_cobucketed": STAR_ROWS,
+    "top_suppliers_cobucketed": TOP_SUPPLIERS,
+    "cobuckets_renewal": f"""WITH {STAR}
+        SELECT period, supp_cd, supp_class, CAST(sum(CASE WHEN period = '1995' THEN 2 ELSE 1 END * qty_joined) AS BIGINT) AS total_joined
+        FROM star GROUP BY period, supp_cd, supp_class""",
+    "top_suppliers": TOP_SUPPLIERS,
     "top_band": f"""WITH {STAR}
         SELECT band, CAST(sum(qty_active) AS BIGINT) AS total_active FROM star GROUP BY band
         ORDER BY total_active DESC NULLS LAST, band NULLS LAST LIMIT 1""",
@@ -318,11 +325,7 @@ ORACLE: dict[str, str] = {
         SELECT city_cd, city_name, region, CAST(sum(qty_active) AS BIGINT) AS total_active
         FROM star GROUP BY city_cd, city_name, region
         ORDER BY total_active DESC NULLS LAST, city_cd NULLS LAST, city_name NULLS LAST, region NULLS LAST""",
-    "top_suppliers_large_dims": f"""WITH {STAR}
-        SELECT supp_cd, supp_name, supp_class, CAST(sum(qty_active) AS BIGINT) AS total_active
-        FROM star GROUP BY supp_cd, supp_name, supp_class
-        ORDER BY total_active DESC NULLS LAST, supp_cd NULLS LAST, supp_name NULLS LAST, supp_class NULLS LAST
-        LIMIT 5""",
+    "top_suppliers_large_dims": TOP_SUPPLIERS,
     "empty_input_guard": f"WITH {CLEAN} " + " UNION ALL ".join(GUARDED),
     "run_report": f"WITH {CLEAN} " + " UNION ALL ".join(RUN_STEPS),
     "full_load_twice": f"WITH {CLEAN} {REGION_TOTALS}",

@@ -31,6 +31,7 @@ from starloom.operators.fact import fact_rows
 from starloom.operators.numbering import numbered
 from starloom.operators.star import Mart, ranking, star_view
 from starloom.plans.catalog import publish_catalog
+from starloom.plans.cobuckets import open_cobuckets, store_cobuckets
 from starloom.plans.loads import (
     Layout,
     build_fact,
@@ -524,6 +525,38 @@ def star_rows_large_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star_view(open_mart(spark, loaded(spark, sf_dir), limit=0)).drop(LINES.loaded_at)
 
 
+def _cobucketed(spark: SparkSession, sf_dir: str) -> Mart:
+    """The loaded star with lines and suppliers stored in equal buckets."""
+    layout = loaded(spark, sf_dir)
+    _kept(spark, sf_dir, "cobuckets", lambda _: store_cobuckets(spark, layout, SUPPLIER.name, buckets=8))
+    return open_cobuckets(spark, layout, SUPPLIER.name, limit=0)
+
+
+def star_rows_cobucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole star view, suppliers joined bucket by bucket and no dimension broadcast."""
+    return star_view(_cobucketed(spark, sf_dir)).drop(LINES.loaded_at)
+
+
+def top_suppliers_cobucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five greatest suppliers, summed and joined inside the buckets."""
+    mart = _cobucketed(spark, sf_dir)
+    return ranking(mart, ["supp_cd", "supp_name", "supp_class"], "qty_active", "total_active", limit=5)
+
+
+def cobuckets_renewal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything bucketed, then one year delivered again with doubled numbers and bucketed again alone."""
+    layout, rows = fresh(spark, "cobuckets"), raw_lines(spark, sf_dir)
+    land(rows, layout)
+    transform(spark, layout)
+    store_cobuckets(spark, layout, SUPPLIER.name, buckets=4)
+    again = rows.where(F.col("period") == "1995")
+    land(again.withColumn("qty_joined", (F.col("qty_joined").cast("int") * 2).cast("string")), layout)
+    transform(spark, layout, periods=["1995"])
+    store_cobuckets(spark, layout, SUPPLIER.name, periods=["1995"])
+    mart = open_cobuckets(spark, layout, SUPPLIER.name)
+    return ranking(mart, ["period", "supp_cd", "supp_class"], "qty_joined", "total_joined")
+
+
 # --- rankings
 
 
@@ -690,6 +723,9 @@ QUERIES: dict[str, Query] = {
     "fact_late_members": fact_late_members,
     "star_view": star_rows,
     "star_view_large_dims": star_rows_large_dims,
+    "star_view_cobucketed": star_rows_cobucketed,
+    "top_suppliers_cobucketed": top_suppliers_cobucketed,
+    "cobuckets_renewal": cobuckets_renewal,
     "top_suppliers": top_suppliers,
     "top_band": top_band,
     "city_ranking": city_ranking,
