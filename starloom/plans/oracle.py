@@ -195,6 +195,17 @@ def _late_codes() -> str:
 RECODED = """SELECT * REPLACE (CASE WHEN period >= '1998' AND supp_cd LIKE '%7' THEN concat('0', supp_cd) ELSE supp_cd END AS supp_cd)
     FROM clean"""
 
+LINE_COLUMNS = (
+    "period supp_cd supp_name supp_tax_id supp_class region city_cd city_name band band_group "
+    "qty_active qty_joined qty_left load_dt"
+).split()
+
+
+def _line_length(columns: list[str]) -> str:
+    """Characters of a line of quoted fields between separators."""
+    return " + ".join(f"coalesce(length({c}), 0)" for c in columns) + f" + {3 * len(columns) - 1}"
+
+
 TOP_SUPPLIERS = f"""WITH {STAR}
     SELECT supp_cd, supp_name, supp_class, CAST(sum(qty_active) AS BIGINT) AS total_active
     FROM star GROUP BY supp_cd, supp_name, supp_class
@@ -337,6 +348,21 @@ ORACLE: dict[str, str] = {
           count(*) FILTER (city_cd IS NULL OR city_cd NOT IN (SELECT city_cd FROM known WHERE city_cd IS NOT NULL)) AS no_city_cd,
           count(*) FILTER (band IS NULL OR band NOT IN (SELECT band FROM known WHERE band IS NOT NULL)) AS no_band
         FROM coded GROUP BY region""",
+    "screened_rows": f"""WITH {RAW} SELECT * FROM raw WHERE region <> 'EUROPE' AND qty_joined NOT IN ('6', '7')""",
+    "quarantined_rows": f"""WITH {RAW}, lines AS (
+          SELECT concat(region, '-', period) AS shard, CASE WHEN region = 'EUROPE' THEN 'header' WHEN qty_joined = '6' THEN 'short'
+            WHEN qty_joined = '7' THEN 'long' END AS fault,
+            {_line_length(LINE_COLUMNS)} AS whole, {_line_length(LINE_COLUMNS[:-2])} AS cut FROM raw)
+        SELECT shard, fault, count(*) AS n_rows,
+          CAST(sum(CASE fault WHEN 'header' THEN whole WHEN 'short' THEN cut ELSE whole + 10 END) AS BIGINT) AS n_chars
+        FROM lines WHERE fault IS NOT NULL GROUP BY shard, fault""",
+    "incremental_intake": f"""WITH {RAW}
+        SELECT region, period, count(*) AS n_rows, CAST(CASE WHEN period < '1998' THEN 1 ELSE 2 END AS INTEGER) AS run,
+          CAST(sum(CAST(qty_joined AS INTEGER)) AS BIGINT) AS joined,
+          CAST((SELECT count(*) FROM raw WHERE period < '1998') AS INTEGER) AS rows_first,
+          CAST((SELECT count(*) FROM raw WHERE period >= '1998') AS INTEGER) AS rows_second,
+          CAST(0 AS INTEGER) AS rows_third, CAST(0 AS INTEGER) AS files_third
+        FROM raw GROUP BY region, period""",
     "reload_old_period": f"""WITH {CLEAN}, again AS (
           SELECT * REPLACE (CASE WHEN period = '1995' THEN concat(supp_name, ' II') ELSE supp_name END AS supp_name) FROM clean),
         {_latest("suppliers", "again", "supp_cd", ["supp_name", "supp_tax_id", "supp_class"])},

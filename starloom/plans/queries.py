@@ -32,6 +32,7 @@ from starloom.operators.numbering import numbered
 from starloom.operators.star import Mart, ranking, star_view
 from starloom.plans.catalog import publish_catalog
 from starloom.plans.cobuckets import open_cobuckets, store_cobuckets
+from starloom.plans.intake import ingest_new, ingest_screened, read_quarantine
 from starloom.plans.loads import (
     Layout,
     build_fact,
@@ -47,13 +48,16 @@ from starloom.plans.loads import (
 from starloom.sources.catalog import table_columns
 from starloom.sources.commits import DimensionStore
 from starloom.sources.delimited import read_shards, write_mixed_shards, write_shards
+from starloom.sources.screening import FAULT, FILE, LINE
 from starloom.sources.tables import SchemaMismatch
 from starloom.sources.workspace import new_folder
-from starloom.specs import Rollup
+from starloom.specs import Rollup, Source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TEXTS = LINES.file_schema.names
+FAULTY_LINES = replace(LINES, shards="shard=*/*.txt")
+DROPPED_LINES = replace(LINES, shards="drop=*/shard=*/*.csv")
 NEW_CODE_YEAR = "1998"
 FIRST_RUN, SECOND_RUN = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
 
@@ -90,6 +94,10 @@ def fresh(spark: SparkSession, label: str) -> Layout:
     return Layout(new_folder(spark, label), ORDER_LINES)
 
 
+def _with_source(layout: Layout, source: Source) -> Layout:
+    return replace(layout, star=replace(layout.star, source=source))
+
+
 def at(moment: str) -> Column:
     return F.lit(moment).cast("timestamp")
 
@@ -620,6 +628,61 @@ def ingest_mixed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.read_raw(spark).groupBy("region", "period").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def _faulty_shards(spark: SparkSession, sf_dir: str) -> str:
+    """The order lines as text lines of their own making, some cut short, some too long, one region's columns turned round."""
+    cells = [F.concat(F.lit('"'), F.coalesce(F.col(c), F.lit("")), F.lit('"')) for c in TEXTS]
+    number = F.xxhash64(*TEXTS)
+
+    def fill(folder: str) -> None:
+        rows = raw_lines(spark, sf_dir).withColumn("_key", F.concat_ws("-", "region", "period"))
+        short, long = F.col("qty_joined") == "6", F.col("qty_joined") == "7"
+        line = F.when(short, F.concat_ws(";", *cells[:-2])).when(long, F.concat_ws(";", *cells, F.lit('"extra;x"'))).otherwise(F.concat_ws(";", *cells))
+        turned = F.concat_ws(";", *reversed(cells))
+        texts = rows.select("_key", F.when(F.col("region") == "EUROPE", turned).otherwise(line).alias("line"), number.alias("n"))
+        head = rows.select("_key", "region").distinct()
+        names, back = ";".join(TEXTS), ";".join(reversed(TEXTS))
+        head = head.select("_key", F.when(F.col("region") == "EUROPE", back).otherwise(names).alias("line"), F.lit(None).cast("long").alias("n"))
+        # a file per region and year, its header first
+        whole = head.union(texts).repartition("_key").sortWithinPartitions("_key", F.asc_nulls_first("n"))
+        whole.select("line", F.col("_key").alias("shard")).write.partitionBy("shard").mode("overwrite").option("compression", "none").text(folder)
+
+    return _kept(spark, sf_dir, "faulty-shards", fill)
+
+
+def screened_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good rows of shards with planted faults, each as it was delivered."""
+    layout = _with_source(fresh(spark, "screened"), FAULTY_LINES)
+    ingest_screened(spark, layout, _faulty_shards(spark, sf_dir))
+    return layout.read_raw(spark).select(*TEXTS)
+
+
+def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected lines per file and fault, with a digest over their texts."""
+    layout = _with_source(fresh(spark, "quarantine"), FAULTY_LINES)
+    ingest_screened(spark, layout, _faulty_shards(spark, sf_dir))
+    shard = F.regexp_extract(F.url_decode(FILE), "shard=([^/]+)/", 1)
+    return read_quarantine(spark, layout).groupBy(shard.alias("shard"), FAULT).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.length(LINE)).alias("n_chars")
+    )
+
+
+def incremental_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops of shards taken in by a stream, then a run that finds nothing new: rows, and in which run they came."""
+    folder, layout = new_folder(spark, "drops"), _with_source(fresh(spark, "intake"), DROPPED_LINES)
+    rows, totals = raw_lines(spark, sf_dir), []
+    for run, drop in enumerate((F.col("period") < NEW_CODE_YEAR, F.col("period") >= NEW_CODE_YEAR, F.lit(False))):
+        if run < 2:
+            write_shards(rows.where(drop), LINES, f"{folder}/drop={run}")
+        reports = ingest_new(spark, layout, folder, run_ts=at(f"2024-01-0{run + 1} 00:00:00"))
+        totals.append((sum(r.files_loaded for r in reports), sum(r.rows_written for r in reports)))
+    n_rows = [n for _, n in totals]
+    return layout.read_raw(spark).groupBy("region", "period").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.max(F.dayofmonth(LINES.loaded_at)).alias("run"),
+        F.sum(F.col("qty_joined").cast("int")).alias("joined"),
+    ).withColumns({"rows_first": F.lit(n_rows[0]), "rows_second": F.lit(n_rows[1]), "rows_third": F.lit(n_rows[2]), "files_third": F.lit(totals[2][0])})
+
+
 def reload_old_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All periods loaded, then an old one delivered again with other names: later periods still win."""
     layout = fresh(spark, "reload")
@@ -736,6 +799,9 @@ QUERIES: dict[str, Query] = {
     "run_report": run_report,
     "full_load_twice": full_load_twice,
     "ingest_mixed_shards": ingest_mixed_shards,
+    "screened_rows": screened_rows,
+    "quarantined_rows": quarantined_rows,
+    "incremental_intake": incremental_intake,
     "reload_old_period": reload_old_period,
     "load_by_periods": load_by_periods,
 }
