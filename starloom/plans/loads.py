@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from starloom.functions.keys import ALL_BITS, surrogate_key
 from starloom.operators.clean import clean
+from starloom.operators.clustering import clustered, fact_files
 from starloom.operators.dimensions import dimension_rows, distinct_members, latest_members
 from starloom.operators.fact import fact_rows
 from starloom.operators.lookup import BROADCAST_BYTES, HOT_FRACTION, Side, shares_of
@@ -320,7 +321,7 @@ def build_fact(
 
     Broadcast lookups leave rows in the clean table's partitions, so nothing is shuffled;
     a shuffled lookup scatters them and they are gathered again. ``gather`` overrides
-    this, say to write fewer and larger files. Periods whose surrogate keys have moved since
+    this, say to write fewer and larger files; a star with ``cluster_by`` has its rows dealt by range. Periods whose surrogate keys have moved since
     they were built are built again, besides ``periods``.
     """
     star, store = layout.star, layout.dimensions(spark)
@@ -334,6 +335,9 @@ def build_fact(
     versions = store.last_commits(star.dimensions) if layout.fmt == "parquet" and star.dimensions else {}
     members = with_hot_keys(store.sides(star.dimensions), record_hot_keys(layout, rows))
     fact = fact_rows(rows, star, members, run_ts, limit)
+    if star.cluster_by:
+        files = fact_files(found, star.fact_schema, star.partition_by, star.file_bytes)
+        fact, gather = clustered(fact, star.partition_by, [star.dimension(d) for d in star.cluster_by], files), False
     if gather is None:
         gather = not all(side.fits(limit) for side in members.values())
     written = overwrite_partitions(fact, layout.fact, star.fact_schema, star.partition_by, layout.fmt, gather)

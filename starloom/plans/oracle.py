@@ -363,6 +363,10 @@ ORACLE: dict[str, str] = {
           CAST((SELECT count(*) FROM raw WHERE period >= '1998') AS INTEGER) AS rows_second,
           CAST(0 AS INTEGER) AS rows_third, CAST(0 AS INTEGER) AS files_third
         FROM raw GROUP BY region, period""",
+    "clustered_layout": f"""WITH {CLEAN}
+        SELECT 'dim_supplier' AS dimension, supp_cd AS code, count(*) AS n_rows, CAST(sum(qty_joined) AS BIGINT) AS joined,
+          CAST(1 AS INTEGER) AS fewer_files FROM clean GROUP BY supp_cd
+        UNION ALL SELECT 'dim_city', city_cd, count(*), CAST(sum(qty_joined) AS BIGINT), 1 FROM clean GROUP BY city_cd""",
     "reload_old_period": f"""WITH {CLEAN}, again AS (
           SELECT * REPLACE (CASE WHEN period = '1995' THEN concat(supp_name, ' II') ELSE supp_name END AS supp_name) FROM clean),
         {_latest("suppliers", "again", "supp_cd", ["supp_name", "supp_tax_id", "supp_class"])},

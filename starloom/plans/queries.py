@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import UNKNOWN_KEY, legacy_int, surrogate_key
 from starloom.models.order_lines import (
+    CITY,
     CUSTOMER,
     LINES,
     ORDER_LINES,
@@ -26,6 +27,7 @@ from starloom.models.order_lines import (
     table,
 )
 from starloom.operators.clean import clean
+from starloom.operators.clustering import fact_files
 from starloom.operators.dimensions import dimension_rows, latest_members
 from starloom.operators.fact import fact_rows
 from starloom.operators.numbering import numbered
@@ -51,7 +53,7 @@ from starloom.sources.delimited import read_shards, write_mixed_shards, write_sh
 from starloom.sources.screening import FAULT, FILE, LINE
 from starloom.sources.tables import SchemaMismatch
 from starloom.sources.workspace import new_folder
-from starloom.specs import Rollup, Source
+from starloom.specs import Dimension, Rollup, Source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -683,6 +685,42 @@ def incremental_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumns({"rows_first": F.lit(n_rows[0]), "rows_second": F.lit(n_rows[1]), "rows_third": F.lit(n_rows[2]), "files_third": F.lit(totals[2][0])})
 
 
+def clustered_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and sums per supplier and per city of a clustered fact, and whether their files became fewer.
+
+    Compared with as many files whose rows are dealt out by a digest. A quarter fewer is asked for.
+    """
+    base = replace(ORDER_LINES, cluster_by=(SUPPLIER.name, CITY.name))
+    rows = raw_lines(spark, sf_dir)
+    layout = fresh(spark, "clustered")
+    land(rows, layout)
+    transform(spark, layout)
+    partitions = layout.read_fact(spark).select("region", "period").distinct().count()
+    plain = layout.read_fact(spark)
+    whole = fact_files(plain.count(), ORDER_LINES.fact_schema, LINES.partition_by, 1)  # bytes
+    dense = replace(layout, root=new_folder(spark, "curve"), star=replace(base, file_bytes=max(1, whole // (16 * partitions))))
+    land(rows, dense)
+    transform(spark, dense)
+    spread = new_folder(spark, "spread")
+    digest = F.xxhash64(*plain.columns)
+    plain.repartitionByRange(16 * partitions, "region", "period", digest).write.partitionBy(*LINES.partition_by).mode("overwrite").parquet(spread)
+    out = None
+    for dim in (SUPPLIER, CITY):
+        curve, other = (_files_per_key(spark, path, dim) for path in (dense.fact, spread))
+        fewer = 4 * curve <= 3 * other
+        sums = dense.read_fact(spark).groupBy(dim.sk).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("qty_joined").alias("joined"))
+        named = sums.join(dense.dimensions(spark).read(dim).select(dim.sk, F.col(dim.bk).alias("code")), dim.sk, "left")
+        part = named.select(F.lit(dim.name).alias("dimension"), "code", "n_rows", "joined", F.lit(int(fewer)).alias("fewer_files"))
+        out = part if out is None else out.union(part)
+    return out
+
+
+def _files_per_key(spark: SparkSession, path: str, dim: Dimension) -> int:
+    """Files that hold rows of a key, summed over the keys."""
+    rows = spark.read.schema(ORDER_LINES.fact_schema).parquet(path)
+    return rows.select(dim.sk, "_metadata.file_path").distinct().count()
+
+
 def reload_old_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All periods loaded, then an old one delivered again with other names: later periods still win."""
     layout = fresh(spark, "reload")
@@ -802,6 +840,7 @@ QUERIES: dict[str, Query] = {
     "screened_rows": screened_rows,
     "quarantined_rows": quarantined_rows,
     "incremental_intake": incremental_intake,
+    "clustered_layout": clustered_layout,
     "reload_old_period": reload_old_period,
     "load_by_periods": load_by_periods,
 }

@@ -136,7 +136,11 @@ class Rollup:
 
 @dataclass(frozen=True)
 class Star:
-    """A source, its dimensions, and the fact that ties them together."""
+    """A source, its dimensions, and the fact that ties them together.
+
+    ``cluster_by`` names dimensions whose keys the fact is filtered by: inside its partitions rows
+    are then laid out along a space-filling curve, in files of about ``file_bytes`` before compression.
+    """
 
     source: Source
     dimensions: tuple[Dimension, ...]
@@ -146,6 +150,8 @@ class Star:
     view: str = "star"
     fact_comment: str = "One row per clean row, with surrogate keys"
     rollups: tuple[Rollup, ...] = ()
+    cluster_by: tuple[str, ...] = ()
+    file_bytes: int = 1024 * 1024 * 1024
 
     @property
     def partition_by(self) -> tuple[str, ...]:
