@@ -206,6 +206,15 @@ def _line_length(columns: list[str]) -> str:
     return " + ".join(f"coalesce(length({c}), 0)" for c in columns) + f" + {3 * len(columns) - 1}"
 
 
+def _profiled(column: str) -> str:
+    """Counts and extremes of a column: of its numbers, its days since 1970 or the lengths of its texts."""
+    number = f"CAST({column} AS BIGINT)" if column.startswith("qty_") else f"CAST(length({column}) AS BIGINT)"
+    number = f"CAST(date_diff('day', DATE '1970-01-01', {column}) AS BIGINT)" if column == "load_dt" else number
+    return f"""SELECT '{column}' AS column_name, CAST(count(*) AS BIGINT) AS n_rows, count({column}) AS n_values, min({number}) AS least,
+          max({number}) AS greatest, count(DISTINCT {column}) AS n_distinct, CAST(1 AS INTEGER) AS distinct_ok,
+          CAST(1 AS INTEGER) AS median_ok, CAST(1 AS INTEGER) AS top_ok FROM again"""
+
+
 TOP_SUPPLIERS = f"""WITH {STAR}
     SELECT supp_cd, supp_name, supp_class, CAST(sum(qty_active) AS BIGINT) AS total_active
     FROM star GROUP BY supp_cd, supp_name, supp_class
@@ -367,6 +376,9 @@ ORACLE: dict[str, str] = {
         SELECT 'dim_supplier' AS dimension, supp_cd AS code, count(*) AS n_rows, CAST(sum(qty_joined) AS BIGINT) AS joined,
           CAST(1 AS INTEGER) AS fewer_files FROM clean GROUP BY supp_cd
         UNION ALL SELECT 'dim_city', city_cd, count(*), CAST(sum(qty_joined) AS BIGINT), 1 FROM clean GROUP BY city_cd""",
+    "column_profile": f"""WITH {CLEAN}, again AS (
+          SELECT * REPLACE (CASE WHEN period = '1995' THEN 2 ELSE 1 END * qty_joined AS qty_joined) FROM clean)
+        """ + " UNION ALL ".join(_profiled(c) for c in LINE_COLUMNS),
     "reload_old_period": f"""WITH {CLEAN}, again AS (
           SELECT * REPLACE (CASE WHEN period = '1995' THEN concat(supp_name, ' II') ELSE supp_name END AS supp_name) FROM clean),
         {_latest("suppliers", "again", "supp_cd", ["supp_name", "supp_tax_id", "supp_class"])},

@@ -47,6 +47,15 @@ from starloom.plans.loads import (
     report_frame,
     transform,
 )
+from starloom.plans.profiles import (
+    DISTINCT_ERROR,
+    RANK_ERROR,
+    TOP_ERROR,
+    as_number,
+    profile,
+    profiled_fields,
+    refresh_profile,
+)
 from starloom.sources.catalog import table_columns
 from starloom.sources.commits import DimensionStore
 from starloom.sources.delimited import read_shards, write_mixed_shards, write_shards
@@ -721,6 +730,39 @@ def _files_per_key(spark: SparkSession, path: str, dim: Dimension) -> int:
     return rows.select(dim.sk, "_metadata.file_path").distinct().count()
 
 
+def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles merged over periods, one of them delivered again, and whether they keep to their stated errors."""
+    layout, rows = fresh(spark, "profile"), raw_lines(spark, sf_dir)
+    land(rows, layout)
+    clean_step(spark, layout)
+    refresh_profile(spark, layout)
+    again = rows.where(F.col("period") == "1995")
+    land(again.withColumn("qty_joined", (F.col("qty_joined").cast("int") * 2).cast("string")), layout)
+    clean_step(spark, layout, periods=["1995"])
+    refresh_profile(spark, layout, ["1995"])
+    found = profile(spark, layout, top=3, shares=[0.5])
+    each = [F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).cast("string").alias("v"), as_number(f).alias("n")) for f in profiled_fields(layout)]
+    values = layout.read_clean(spark).select(F.explode(F.array(*each)).alias("one")).select("one.*").where("v is not null")
+    counted = values.groupBy("column_name", "v", "n").agg(F.count(F.lit(1)).alias("m"))
+    met = counted.join(F.broadcast(found.withColumn("middle", F.get("quantiles", F.lit(0)))), "column_name")  # a row per column
+    listed = F.get(F.filter("top", lambda one: one["item"] == F.col("v")), F.lit(0))["count"]
+    exact = met.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("n_exact"),
+        F.sum(F.when(F.col("n") < F.col("middle"), F.col("m")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("n") <= F.col("middle"), F.col("m")).otherwise(0)).alias("upto"),
+        F.max(F.abs(listed - F.col("m"))).alias("astray"),
+        F.max("m").alias("most"),
+        F.max(F.when(listed.isNotNull(), F.col("m"))).alias("most_listed"),
+    )
+    slack, none = F.col("n_values") * TOP_ERROR, F.lit(0)
+    return found.join(exact, "column_name").select(
+        "column_name", "n_rows", "n_values", "least", "greatest", F.col("n_exact").alias("n_distinct"),
+        (F.abs(F.col("n_distinct") - F.col("n_exact")) <= F.greatest(F.lit(1.0), F.col("n_exact") * DISTINCT_ERROR)).cast("int").alias("distinct_ok"),
+        F.col("n_values").between(F.col("below") / (0.5 + RANK_ERROR), F.col("upto") / (0.5 - RANK_ERROR)).cast("int").alias("median_ok"),
+        ((F.coalesce("astray", none) <= slack) & (F.coalesce("most_listed", none) >= F.col("most") - slack)).cast("int").alias("top_ok"),
+    )
+
+
 def reload_old_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All periods loaded, then an old one delivered again with other names: later periods still win."""
     layout = fresh(spark, "reload")
@@ -841,6 +883,7 @@ QUERIES: dict[str, Query] = {
     "quarantined_rows": quarantined_rows,
     "incremental_intake": incremental_intake,
     "clustered_layout": clustered_layout,
+    "column_profile": column_profile,
     "reload_old_period": reload_old_period,
     "load_by_periods": load_by_periods,
 }
