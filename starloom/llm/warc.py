@@ -326,9 +326,15 @@ def quarantined(entries: DataFrame) -> DataFrame:
     return entries.where("reason is not null").select("file", "start", "end", "reason")
 
 
+def undamaged(entries: DataFrame) -> DataFrame:
+    """The records, for archives that must be whole: a quarantined gap fails the job with its file and place."""
+    gap = F.concat_ws(" ", F.lit("damaged archive:"), "file", "start", "end", "reason")
+    return entries.where(F.when(F.col("reason").isNull(), F.lit(True)).otherwise(F.raise_error(gap).cast("boolean")))
+
+
 def op2_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = write_archives(table(spark, sf_dir, "pages"), new_folder(spark, "warc"))
-    return records(read_archives(archives, payloads=False)).select(
+    return undamaged(read_archives(archives, payloads=False)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 

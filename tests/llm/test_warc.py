@@ -1,6 +1,9 @@
 import hashlib
 import io
 import random
+from pathlib import Path
+
+import pytest
 
 from starloom.llm.warc import (
     Gap,
@@ -12,6 +15,7 @@ from starloom.llm.warc import (
     record,
     records,
     salvage,
+    undamaged,
     write_archives,
 )
 
@@ -84,5 +88,16 @@ def test_odd_pages(spark, tmp_path):
     assert read_archives(write_archives(pages.where("false"), str(tmp_path / "none"))).count() == 0
 
 
+def test_damage_does_not_pass_unseen(spark, tmp_path):
+    pages = spark.createDataFrame([(n, "u", f"{n}" * 90, 1) for n in range(20)], "page_id bigint, url string, html string, digest int")
+    archives = write_archives(pages, str(tmp_path))
+    assert undamaged(read_archives(archives)).count() == 20
+    path = Path(archives.select("file").first()[0].removeprefix("file://").removeprefix("file:"))
+    path.write_bytes(path.read_bytes()[:-9])
+    assert quarantined(read_archives(archives)).count() == 1
+    with pytest.raises(Exception, match="damaged archive"):
+        undamaged(read_archives(archives)).select("page_id").collect()
+
+
 def test_query_returns_every_page(spark, tables):
     assert op2_warc_salvage(spark, tables).count() == spark.read.parquet(f"{tables}/pages.parquet").count()
