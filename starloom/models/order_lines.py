@@ -10,6 +10,7 @@ from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.operators.lookup import BROADCAST_BYTES, Side
 from starloom.specs import Column, Dimension, Source, Star
 
 LINES = Source(
@@ -75,30 +76,43 @@ def padded(col: SparkColumn, width: int) -> SparkColumn:
     return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
 
 
-def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _small(frame: DataFrame) -> DataFrame:
+    """The frame, marked for broadcast if its measured size allows; what file sizes say of a wide table is of no use."""
+    return F.broadcast(frame) if Side(frame).fits(BROADCAST_BYTES) else frame
+
+
+def raw_lines(spark: SparkSession, sf_dir: str, gather: bool = False) -> DataFrame:
     """One all-text row per order line.
 
-    Customers are joined to orders before lines are, so lines, the largest table, are
-    shuffled by order key alone. Small tables are joined as bare scans and without hints:
-    Catalyst broadcasts them while their size allows, and AQE splits a part or supplier
-    with very many lines once they no longer fit.
+    Lines, the largest table, are shuffled by order key and, where parts are too many to broadcast,
+    by part key. Only numbers and codes take part in that; texts join and are rendered afterwards.
+    ``gather`` brings the rows of a customer nation and year together while they are still narrow, so
+    they arrive the way deliveries do: a task holds few regions and periods. Equal rows either way.
     """
     nation = table(spark, sf_dir, "nation")
-    orders = (
-        table(spark, sf_dir, "orders")
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("o_orderkey", F.col("n_nationkey").alias("city_key"), F.col("n_name").alias("city"), "r_name")
-    )
-    supplier_nation = nation.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("supp_nation"))
+    customers = _small(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"))
+    orders = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
+    parts = _small(table(spark, sf_dir, "part"))
     lines = (
         table(spark, sf_dir, "lineitem")
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .drop("l_partkey", "p_partkey")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(supplier_nation, F.col("s_nationkey") == F.col("sn_key"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .drop("o_orderkey")
     )
+    supplier_nation = nation.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("supp_nation"))
+    suppliers = table(spark, sf_dir, "supplier").join(_small(supplier_nation), F.col("s_nationkey") == F.col("sn_key"))
+    suppliers = suppliers.select("s_suppkey", "s_name", "supp_nation")
+    few, own = Side(suppliers).fits(BROADCAST_BYTES), F.col("l_suppkey") == F.col("s_suppkey")
+    if not few:
+        lines = lines.join(suppliers, own)  # this shuffles, so it comes before rows are gathered
+    if gather:
+        lines = lines.withColumn("_year", F.year("l_shipdate")).hint("rebalance", "c_nationkey", "_year")
+    if few:
+        lines = lines.join(F.broadcast(suppliers), own)
+    cities = nation.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    cities = cities.select(F.col("n_nationkey").alias("city_key"), F.col("n_name").alias("city"), "r_name")
+    lines = lines.join(_small(cities), F.col("c_nationkey") == F.col("city_key"))
     year, order = F.year("l_shipdate"), F.col("l_orderkey")
 
     def size_group(width: int) -> SparkColumn:

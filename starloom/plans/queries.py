@@ -60,7 +60,7 @@ from starloom.sources.catalog import table_columns
 from starloom.sources.commits import DimensionStore
 from starloom.sources.delimited import read_shards, write_mixed_shards, write_shards
 from starloom.sources.screening import FAULT, FILE, LINE
-from starloom.sources.tables import SchemaMismatch
+from starloom.sources.tables import SchemaMismatch, read_table
 from starloom.sources.workspace import new_folder
 from starloom.specs import Dimension, Rollup, Source
 
@@ -85,9 +85,21 @@ def _kept(spark: SparkSession, sf_dir: str, label: str, fill: Callable[[str], No
     return _once[key]
 
 
+def delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order lines as they are delivered: joined, gathered and rendered once per session, then read.
+
+    Files hold few regions and periods each, so they land and become shards without another shuffle.
+    """
+
+    def fill(folder: str) -> None:
+        raw_lines(spark, sf_dir, gather=True).write.mode("overwrite").parquet(folder)
+
+    return read_table(spark, _kept(spark, sf_dir, "delivered", fill), LINES.file_schema)
+
+
 def shard_folder(spark: SparkSession, sf_dir: str) -> str:
     """The order lines laid out as text shards."""
-    return _kept(spark, sf_dir, "shards", lambda folder: write_shards(raw_lines(spark, sf_dir), LINES, folder))
+    return _kept(spark, sf_dir, "shards", lambda folder: write_shards(delivered(spark, sf_dir), LINES, folder, gather=False))
 
 
 def loaded(spark: SparkSession, sf_dir: str) -> Layout:
@@ -95,7 +107,7 @@ def loaded(spark: SparkSession, sf_dir: str) -> Layout:
 
     def load(folder: str) -> None:
         layout = Layout(folder, ORDER_LINES)
-        land(raw_lines(spark, sf_dir), layout)
+        land(delivered(spark, sf_dir), layout, gather=False)
         transform(spark, layout)
 
     return Layout(_kept(spark, sf_dir, "mart", load), ORDER_LINES)
@@ -404,8 +416,8 @@ def _narrow_loads(spark: SparkSession, sf_dir: str) -> list[Layout]:
     for order in ((late, ~late), (~late, late)):
         layout = Layout(new_folder(spark, "narrow"), star)
         for batch in order:
-            rows = raw_lines(spark, sf_dir).withColumn("supp_cd", recoded).where(batch)
-            land(rows, layout)
+            rows = delivered(spark, sf_dir).withColumn("supp_cd", recoded).where(batch)
+            land(rows, layout, gather=False)
             # as many values as the raw table has period folders of this batch
             years = [r[0] for r in layout.read_raw(spark).where(batch).select("period").distinct().collect()]
             transform(spark, layout, periods=years)
@@ -445,15 +457,15 @@ ROLLED = replace(
 
 def _rolled(spark: SparkSession, sf_dir: str) -> tuple[Layout, DataFrame]:
     """A star with rollups, loaded whole, then 1995 delivered again with doubled numbers; the rollup files before that."""
-    layout, rows = Layout(new_folder(spark, "rolled"), ROLLED), raw_lines(spark, sf_dir)
-    land(rows, layout)
+    layout, rows = Layout(new_folder(spark, "rolled"), ROLLED), delivered(spark, sf_dir)
+    land(rows, layout, gather=False)
     transform(spark, layout)
     path = F.col("_metadata.file_path").alias("path")
     before = spark.read.parquet(layout.rollup(ROLLED.rollups[0])).select("period", path).distinct()
     folder = new_folder(spark, "rollup-files")
     before.write.parquet(folder)
     again = rows.where(F.col("period") == "1995")
-    land(again.withColumn("qty_joined", (F.col("qty_joined").cast("int") * 2).cast("string")), layout)
+    land(again.withColumn("qty_joined", (F.col("qty_joined").cast("int") * 2).cast("string")), layout, gather=False)
     transform(spark, layout, periods=["1995"])
     return layout, spark.read.parquet(folder)
 
@@ -523,10 +535,10 @@ def fact_late_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout, period = fresh(spark, "late"), F.col("period")
     late = {c: F.when((period >= NEW_CODE_YEAR) & F.col(c).endswith("3"), F.concat(c, F.lit("N"))).otherwise(F.col(c))
             for c in ("supp_cd", "city_cd", "band")}
-    rows = raw_lines(spark, sf_dir).withColumns(late)
-    land(rows.where(period < NEW_CODE_YEAR), layout)
+    rows = delivered(spark, sf_dir).withColumns(late)
+    land(rows.where(period < NEW_CODE_YEAR), layout, gather=False)
     transform(spark, layout)
-    land(rows.where(period >= NEW_CODE_YEAR), layout)
+    land(rows.where(period >= NEW_CODE_YEAR), layout, gather=False)
     clean_step(spark, layout)
     build_fact(spark, layout)
     names = [f"no_{d.bk}" for d in ORDER_LINES.dimensions]
@@ -564,12 +576,12 @@ def top_suppliers_cobucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cobuckets_renewal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything bucketed, then one year delivered again with doubled numbers and bucketed again alone."""
-    layout, rows = fresh(spark, "cobuckets"), raw_lines(spark, sf_dir)
-    land(rows, layout)
+    layout, rows = fresh(spark, "cobuckets"), delivered(spark, sf_dir)
+    land(rows, layout, gather=False)
     transform(spark, layout)
     store_cobuckets(spark, layout, SUPPLIER.name, buckets=4)
     again = rows.where(F.col("period") == "1995")
-    land(again.withColumn("qty_joined", (F.col("qty_joined").cast("int") * 2).cast("string")), layout)
+    land(again.withColumn("qty_joined", (F.col("qty_joined").cast("int") * 2).cast("string")), layout, gather=False)
     transform(spark, layout, periods=["1995"])
     store_cobuckets(spark, layout, SUPPLIER.name, periods=["1995"])
     mart = open_cobuckets(spark, layout, SUPPLIER.name)
@@ -645,7 +657,7 @@ def _faulty_shards(spark: SparkSession, sf_dir: str) -> str:
     number = F.xxhash64(*TEXTS)
 
     def fill(folder: str) -> None:
-        rows = raw_lines(spark, sf_dir).withColumn("_key", F.concat_ws("-", "region", "period"))
+        rows = delivered(spark, sf_dir).withColumn("_key", F.concat_ws("-", "region", "period"))
         short, long = F.col("qty_joined") == "6", F.col("qty_joined") == "7"
         line = F.when(short, F.concat_ws(";", *cells[:-2])).when(long, F.concat_ws(";", *cells, F.lit('"extra;x"'))).otherwise(F.concat_ws(";", *cells))
         turned = F.concat_ws(";", *reversed(cells))
@@ -680,7 +692,7 @@ def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two drops of shards taken in by a stream, then a run that finds nothing new: rows, and in which run they came."""
     folder, layout = new_folder(spark, "drops"), _with_source(fresh(spark, "intake"), DROPPED_LINES)
-    rows, totals = raw_lines(spark, sf_dir), []
+    rows, totals = delivered(spark, sf_dir), []
     for run, drop in enumerate((F.col("period") < NEW_CODE_YEAR, F.col("period") >= NEW_CODE_YEAR, F.lit(False))):
         if run < 2:
             write_shards(rows.where(drop), LINES, f"{folder}/drop={run}")
@@ -700,15 +712,15 @@ def clustered_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     Compared with as many files whose rows are dealt out by a digest. A quarter fewer is asked for.
     """
     base = replace(ORDER_LINES, cluster_by=(SUPPLIER.name, CITY.name))
-    rows = raw_lines(spark, sf_dir)
+    rows = delivered(spark, sf_dir)
     layout = fresh(spark, "clustered")
-    land(rows, layout)
+    land(rows, layout, gather=False)
     transform(spark, layout)
     partitions = layout.read_fact(spark).select("region", "period").distinct().count()
     plain = layout.read_fact(spark)
     whole = fact_files(plain.count(), ORDER_LINES.fact_schema, LINES.partition_by, 1)  # bytes
     dense = replace(layout, root=new_folder(spark, "curve"), star=replace(base, file_bytes=max(1, whole // (16 * partitions))))
-    land(rows, dense)
+    land(rows, dense, gather=False)
     transform(spark, dense)
     spread = new_folder(spark, "spread")
     digest = F.xxhash64(*plain.columns)
@@ -732,12 +744,12 @@ def _files_per_key(spark: SparkSession, path: str, dim: Dimension) -> int:
 
 def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profiles merged over periods, one of them delivered again, and whether they keep to their stated errors."""
-    layout, rows = fresh(spark, "profile"), raw_lines(spark, sf_dir)
-    land(rows, layout)
+    layout, rows = fresh(spark, "profile"), delivered(spark, sf_dir)
+    land(rows, layout, gather=False)
     clean_step(spark, layout)
     refresh_profile(spark, layout)
     again = rows.where(F.col("period") == "1995")
-    land(again.withColumn("qty_joined", (F.col("qty_joined").cast("int") * 2).cast("string")), layout)
+    land(again.withColumn("qty_joined", (F.col("qty_joined").cast("int") * 2).cast("string")), layout, gather=False)
     clean_step(spark, layout, periods=["1995"])
     refresh_profile(spark, layout, ["1995"])
     found = profile(spark, layout, top=3, shares=[0.5])
@@ -766,11 +778,11 @@ def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reload_old_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All periods loaded, then an old one delivered again with other names: later periods still win."""
     layout = fresh(spark, "reload")
-    rows = raw_lines(spark, sf_dir)
-    land(rows, layout)
+    rows = delivered(spark, sf_dir)
+    land(rows, layout, gather=False)
     transform(spark, layout)
     again = rows.where(F.col("period") == "1995")
-    land(again.withColumn("supp_name", F.concat(F.rtrim("supp_name"), F.lit(" II "))), layout)
+    land(again.withColumn("supp_name", F.concat(F.rtrim("supp_name"), F.lit(" II "))), layout, gather=False)
     transform(spark, layout, periods=["1995"])
     renamed = layout.read_clean(spark).where(F.col("supp_name").endswith(" II"))
     counts = renamed.groupBy("supp_cd").agg(F.count(F.lit(1)).alias("n"))
@@ -785,7 +797,7 @@ def empty_input_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     empty = fresh(spark, "empty")
     empty.create_tables(spark)
     full = fresh(spark, "guard")
-    land(raw_lines(spark, sf_dir), full)
+    land(delivered(spark, sf_dir), full, gather=False)
     before = [clean_step(spark, empty), build_fact(spark, empty)]
     after = [r for r in transform(spark, full) if r.step in (LINES.clean_table, ORDER_LINES.fact_table)]
     cases = report_frame(spark, before).withColumn("input", F.lit("empty")).union(

@@ -46,14 +46,15 @@ def list_shards(spark: SparkSession, source: Source, folder: str) -> DataFrame:
     )
 
 
-def write_shards(rows: DataFrame, source: Source, folder: str) -> None:
+def write_shards(rows: DataFrame, source: Source, folder: str, gather: bool = True) -> None:
     """Lay rows out as shards, one folder per partition of the source.
 
     Blanks are kept: the CSV writer would strip them by default. REBALANCE gathers a
-    partition's rows into few files and lets AQE split a partition that is too large.
+    partition's rows into few files and lets AQE split a partition that is too large;
+    rows that arrive clustered can do without (``gather=False``).
     """
     shard = F.concat_ws("-", *[F.coalesce(F.col(c), F.lit("none")) for c in source.partition_by])
-    _write(rows.select(*source.file_schema.names, shard.alias("shard")), source, folder)
+    _write(rows.select(*source.file_schema.names, shard.alias("shard")), source, folder, gather)
 
 
 def write_mixed_shards(rows: DataFrame, source: Source, folder: str, n: int) -> None:
@@ -62,9 +63,9 @@ def write_mixed_shards(rows: DataFrame, source: Source, folder: str, n: int) ->
     _write(texts.withColumn("shard", F.pmod(F.xxhash64(*texts.columns), F.lit(n)).cast("string")), source, folder)
 
 
-def _write(rows: DataFrame, source: Source, folder: str) -> None:
+def _write(rows: DataFrame, source: Source, folder: str, gather: bool = True) -> None:
     (
-        rows.hint("rebalance", "shard")
+        (rows.hint("rebalance", "shard") if gather else rows)
         .write.format("csv")
         .options(header=True, sep=source.sep, quote=source.quote, escape=source.escape, encoding=source.encoding)
         .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)

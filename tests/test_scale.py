@@ -1,6 +1,7 @@
 """Plans and sizes that must hold at any scale: bounded files, pruned scans, no jobs while a plan is built."""
 
 import re
+from itertools import takewhile
 from pathlib import Path
 
 import pytest
@@ -11,6 +12,7 @@ from starloom.operators.dimensions import distinct_members
 from starloom.operators.star import ranking, star_view
 from starloom.plans import Layout, full_load, open_mart, transform
 from starloom.plans.loads import land
+from starloom.plans.queries import delivered
 from starloom.sources.delimited import write_mixed_shards
 from starloom.sources.tables import only_periods
 
@@ -71,3 +73,27 @@ def test_mixed_shards_leave_few_files(spark, tables, tmp_path):
     partitions = out.read_raw(spark).select("region", "period").distinct().count()
     for path in (out.raw, out.clean, out.fact):
         assert len(list(Path(path).rglob("*.parquet"))) <= 2 * partitions
+
+
+def below(plan, name):
+    """The lines of a printed plan below the first node of that name."""
+    lines = plan.splitlines()
+    at = next(i for i, row in enumerate(lines) if name in row)
+    depth = re.match(r"[\s:|+\-]*", lines[at]).end()
+    return list(takewhile(lambda row: re.match(r"[\s:|+\-]*", row).end() > depth, lines[at + 1 :]))
+
+
+def test_order_lines_are_gathered_while_they_are_narrow(spark, tables):
+    """Texts of suppliers and cities join after the rows were shuffled, and the rows are those of the plain plan."""
+    gathered, plain = raw_lines(spark, tables, gather=True), raw_lines(spark, tables)
+    inside = below(gathered._jdf.queryExecution().optimizedPlan().toString(), "RebalancePartitions")
+    assert inside and not any("s_name" in row or "n_name" in row or "r_name" in row for row in inside)
+    assert gathered.exceptAll(plain).isEmpty() and plain.exceptAll(gathered).isEmpty()
+
+
+def test_delivered_lines_are_joined_once_a_session(spark, tables):
+    first, again = delivered(spark, tables), delivered(spark, tables)
+    assert first.inputFiles() == again.inputFiles()
+    plan = again._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Rebalance" not in plan
+    assert again.exceptAll(raw_lines(spark, tables)).isEmpty() and again.count() == raw_lines(spark, tables).count()
