@@ -105,18 +105,23 @@ def store_cobuckets(
     periods: Sequence[str] | None = None,
     buckets: int | None = None,
     namespace: str = "cobuckets",
+    bucket_bytes: int = BUCKET_TARGET_BYTES,
 ) -> int:
     """Store the fact's ``periods`` (by default all) and the dimension in equal buckets; return the bucket count.
 
     Members are written again only if the dimension has a new version. The bucket count stays what the
     first run chose; another one, or the first run, stores all periods. An empty fact stores no period.
+    ``buckets`` asks for at least so many: a bucket is one task's work, so a fact that is large for them gets more.
     """
     star = layout.star
     dim, paths = star.dimension(dimension), _Paths(layout, star.dimension(dimension))
     create_namespace(spark, namespace, f"{layout.root}/{namespace}")
     log = _log(spark, layout, paths)
     last = log.orderBy(F.desc("committed_at"), F.desc(BUILD)).first() if log is not None else None
-    buckets = buckets or (last["buckets"] if last else bucket_count(layout.read_fact(spark)))
+    if last is None or buckets is not None:
+        buckets = max(buckets or 1, bucket_count(layout.read_fact(spark), bucket_bytes))
+    else:
+        buckets = last["buckets"]
     if last is None or last["buckets"] != buckets:
         periods = None
     fact_name, dim_name = _names(layout, dim, namespace)

@@ -108,3 +108,12 @@ def test_nothing_stored_and_empty_fact(spark, tmp_path):
     load(spark, layout, [line("1", "s1", 1)])
     with pytest.raises(FileNotFoundError):
         open_cobuckets(spark, layout, SUPPLIER.name)
+
+
+def test_a_large_fact_gets_more_buckets_than_asked_for(spark, tmp_path):
+    """A bucket is one task's work: the count asked for is the least, and the rows stay whole."""
+    layout = Layout(str(tmp_path / "wh"), ORDER_LINES)
+    load(spark, layout, [line("2001", f"s{i % 40}", i) for i in range(400)])
+    assert store_cobuckets(spark, layout, SUPPLIER.name, buckets=2, namespace="grown", bucket_bytes=8192) >= 8
+    stored, plain = open_cobuckets(spark, layout, SUPPLIER.name, limit=0, namespace="grown"), open_mart(spark, layout)
+    assert view_rows(stored) == view_rows(plain)
