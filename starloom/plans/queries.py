@@ -355,14 +355,16 @@ def merge_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-MANY_BUCKETS = 4096  # bytes a bucket: enough buckets at any scale to see which are left alone
+MANY_BUCKETS = 4096  # bytes a bucket, where that makes no more than SEEN_BUCKETS of them
+SEEN_BUCKETS = 64  # enough at any scale to see which are left alone; every one is a folder
 
 
 def _bucketed_customers(spark: SparkSession, sf_dir: str) -> DimensionStore:
     """Both batches merged into a dimension of many buckets, the second one once more, then one renamed customer."""
-    store = DimensionStore(spark, new_folder(spark, "buckets"), bucket_bytes=MANY_BUCKETS)
+    store = DimensionStore(spark, new_folder(spark, "buckets"))
     (old, first), (new, second) = _customer_batches(spark, sf_dir)
-    store.upsert(CUSTOMER, old, first)
+    size = store.upsert(CUSTOMER, old, first)["bytes_total"]
+    store = replace(store, bucket_bytes=max(MANY_BUCKETS, size // SEEN_BUCKETS))
     for _ in range(2):
         store.upsert(CUSTOMER, new, second)
     least = store.read(CUSTOMER).agg(F.min(CUSTOMER.bk)).first()[0]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from starloom.models.order_lines import LINES, ORDER_LINES, SUPPLIER, padded, raw_lines
 from starloom.operators.dimensions import distinct_members
 from starloom.operators.star import ranking, star_view
-from starloom.plans import Layout, full_load, open_mart, transform
+from starloom.plans import Layout, full_load, open_mart, queries, transform
 from starloom.plans.loads import land
 from starloom.plans.queries import delivered
 from starloom.sources.delimited import write_mixed_shards
@@ -97,3 +97,11 @@ def test_delivered_lines_are_joined_once_a_session(spark, tables):
     plan = again._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Rebalance" not in plan
     assert again.exceptAll(raw_lines(spark, tables)).isEmpty() and again.count() == raw_lines(spark, tables).count()
+
+
+def test_buckets_of_merged_customers_do_not_grow_with_them(spark, tables, monkeypatch):
+    monkeypatch.setattr(queries, "MANY_BUCKETS", 16)  # far below a row: as if there were very many customers
+    store = queries._bucketed_customers(spark, tables)
+    last = store.last_commit(queries.CUSTOMER)
+    assert 1 < len(last["buckets"]) <= 4 * queries.SEEN_BUCKETS
+    assert store.read(queries.CUSTOMER).count() == last["rows_total"]
