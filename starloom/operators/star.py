@@ -46,9 +46,12 @@ def _needed(mart: Mart, columns: Sequence[str]) -> list[tuple[Dimension, list[st
 
 
 def _with_members(rows: DataFrame, mart: Mart, columns: Sequence[str], summed: bool = False) -> DataFrame:
-    """``summed`` rows have few rows per key by construction: AQE is enough for what skew is left."""
+    """``summed`` rows have few rows per key by construction: AQE is enough for what skew is left.
+
+    Dimensions that supply most columns are joined last, so that shuffles carry few texts.
+    """
     joined = rows
-    for dim, taken in _needed(mart, columns):
+    for dim, taken in sorted(_needed(mart, columns), key=lambda one: len(one[1])):
         side = mart.members[dim.name].select(dim.sk, *taken)
         if summed:
             side = replace(side, hot={})

@@ -105,3 +105,10 @@ def test_buckets_of_merged_customers_do_not_grow_with_them(spark, tables, monkey
     last = store.last_commit(queries.CUSTOMER)
     assert 1 < len(last["buckets"]) <= 4 * queries.SEEN_BUCKETS
     assert store.read(queries.CUSTOMER).count() == last["rows_total"]
+
+
+def test_the_widest_dimension_is_joined_last(spark, layout):
+    """What a shuffled join carries is the texts of the dimensions joined before it."""
+    plan = star_view(open_mart(spark, layout, limit=0))._jdf.queryExecution().optimizedPlan().toString()
+    joins = [row for row in plan.splitlines() if "Join LeftOuter" in row]
+    assert len(joins) == 3 and "supplier_sk" in joins[0]
