@@ -47,6 +47,20 @@ def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     return True
 
 
+#: Files one task keeps open while it writes to many folders; rows of further folders are sorted first.
+OPEN_FILES = "64"
+
+
+def spare_sort(spark: SparkSession) -> None:
+    """Write rows to the folders they belong to as they come, unless the session says how.
+
+    By default a task sorts all its rows by folder first. A scan task holds some ten million rows of a
+    well compressed table, whose whole texts then spill; open files hold them encoded.
+    """
+    if spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0":
+        spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", OPEN_FILES)
+
+
 def create_if_absent(
     spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = (), fmt: str = "parquet"
 ) -> None:
@@ -85,6 +99,7 @@ def overwrite_partitions(
     out = lock_schema(rows, schema)
     if gather:
         out = out.hint("rebalance", *partition_by)
+    spare_sort(rows.sparkSession)
     seen = Observation()
     (
         out.observe(seen, F.count(F.lit(1)).alias("rows"))

@@ -188,3 +188,17 @@ def test_work_folders_are_fresh_and_shared(spark):
     assert one != two
     shared = spark.conf.get("spark.checkpoint.dir", None)
     assert shared is None or one.startswith(shared)
+
+
+def test_partitions_are_written_without_a_sort(spark, tmp_path):
+    """A task that holds many partitions keeps a file open for each; beyond ``OPEN_FILES`` of them rows come as right."""
+    spark.conf.unset("spark.sql.maxConcurrentOutputFileWriters")
+    schema = T.StructType([T.StructField("v", T.LongType()), T.StructField("p", T.StringType())])
+    rows = spark.range(1000).select(F.col("id").alias("v"), (F.col("id") % 150).cast("string").alias("p")).coalesce(1)
+    assert overwrite_partitions(rows, f"{tmp_path}/t", schema, ["p"]) == 1000
+    assert sorted(map(tuple, read_table(spark, f"{tmp_path}/t", schema).collect())) == sorted(map(tuple, rows.collect()))
+    spark.sql(f"CREATE TABLE open_files (v BIGINT, p STRING) USING parquet PARTITIONED BY (p) LOCATION '{tmp_path}/u'")
+    rows.createOrReplaceTempView("open_files_rows")
+    plan = spark.sql("EXPLAIN INSERT INTO open_files SELECT * FROM open_files_rows").first()[0]
+    spark.sql("DROP TABLE open_files")
+    assert "Insert" in plan and "Sort [" not in plan
