@@ -60,7 +60,7 @@ from starloom.sources.catalog import table_columns
 from starloom.sources.commits import DimensionStore
 from starloom.sources.delimited import read_shards, write_mixed_shards, write_shards
 from starloom.sources.screening import FAULT, FILE, LINE
-from starloom.sources.tables import SchemaMismatch, read_table
+from starloom.sources.tables import SchemaMismatch, read_table, spare_sort
 from starloom.sources.workspace import new_folder
 from starloom.specs import Dimension, Rollup, Source
 
@@ -656,20 +656,18 @@ def ingest_mixed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _faulty_shards(spark: SparkSession, sf_dir: str) -> str:
     """The order lines as text lines of their own making, some cut short, some too long, one region's columns turned round."""
     cells = [F.concat(F.lit('"'), F.coalesce(F.col(c), F.lit("")), F.lit('"')) for c in TEXTS]
-    number = F.xxhash64(*TEXTS)
 
     def fill(folder: str) -> None:
-        rows = delivered(spark, sf_dir).withColumn("_key", F.concat_ws("-", "region", "period"))
+        rows = delivered(spark, sf_dir).withColumn("shard", F.concat_ws("-", "region", "period"))
         short, long = F.col("qty_joined") == "6", F.col("qty_joined") == "7"
         line = F.when(short, F.concat_ws(";", *cells[:-2])).when(long, F.concat_ws(";", *cells, F.lit('"extra;x"'))).otherwise(F.concat_ws(";", *cells))
-        turned = F.concat_ws(";", *reversed(cells))
-        texts = rows.select("_key", F.when(F.col("region") == "EUROPE", turned).otherwise(line).alias("line"), number.alias("n"))
-        head = rows.select("_key", "region").distinct()
-        names, back = ";".join(TEXTS), ";".join(reversed(TEXTS))
-        head = head.select("_key", F.when(F.col("region") == "EUROPE", back).otherwise(names).alias("line"), F.lit(None).cast("long").alias("n"))
-        # a file per region and year, its header first
-        whole = head.union(texts).repartition("_key").sortWithinPartitions("_key", F.asc_nulls_first("n"))
-        whole.select("line", F.col("_key").alias("shard")).write.partitionBy("shard").mode("overwrite").option("compression", "none").text(folder)
+        turned, is_turned = F.concat_ws(";", *reversed(cells)), F.col("region").eqNullSafe("EUROPE")
+        spare_sort(spark)
+        # rows arrive clustered; a column named like the header, whose texts are lines, gives every file its first line
+        for lines, names, wanted in ((line, TEXTS, ~is_turned), (turned, [*reversed(TEXTS)], is_turned)):
+            texts = rows.where(wanted).select(lines.alias(";".join(names)), "shard")
+            bare = {"sep": "\x01", "quote": "", "extension": "txt", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+            texts.write.format("csv").options(header=True, **bare).partitionBy("shard").mode("append").save(folder)
 
     return _kept(spark, sf_dir, "faulty-shards", fill)
 

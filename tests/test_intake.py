@@ -1,11 +1,12 @@
 """Shards with faults, and shards that arrive in several drops."""
 
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.plans import Layout
+from starloom.plans import Layout, queries
 from starloom.plans.intake import ingest_new, ingest_screened, read_quarantine
 from starloom.sources.delimited import read_shards
 from starloom.sources.screening import FAULT, FILE, LINE, screened
@@ -117,3 +118,24 @@ def test_lost_checkpoint_changes_nothing(spark, tmp_path):
     for n in range(2):
         ingest_new(spark, layout, str(drop), checkpoint=str(tmp_path / f"c{n}"))
     assert raw(spark, layout) == [("1", "2", "3")] * 2
+
+
+def test_faulty_shards_stay_in_their_tasks(spark, tables, monkeypatch):
+    """A region and year that comes from several tasks is written by them, a header in each file, and not gathered in one."""
+    delivered = queries.delivered(spark, tables).where("period in ('1995', '1996')").repartition(3).cache()
+    monkeypatch.setattr(queries, "delivered", lambda *_: delivered)
+    monkeypatch.setattr(queries, "_once", {})
+    folder = queries._faulty_shards(spark, tables)
+    names = queries.TEXTS
+    shards = list(Path(folder).glob("shard=*"))
+    for shard in shards:
+        files = list(shard.glob("*.txt"))
+        heads = {file.read_text().split("\n", 1)[0] for file in files}
+        assert len(files) == 3 and heads == {";".join(reversed(names) if "EUROPE" in shard.name else names)}
+    assert len(shards) == 10
+    rows = screened(spark, queries.FAULTY_LINES, folder)
+    fits = delivered.where("region <> 'EUROPE' and qty_joined not in ('6', '7')")
+    good = rows.where(F.col(FAULT).isNull())
+    blanks = {c: F.coalesce(F.col(c), F.lit("")) for c in names}
+    assert rows.count() == delivered.count()
+    assert sorted(good.select(*names).withColumns(blanks).collect()) == sorted(fits.withColumns(blanks).collect())
