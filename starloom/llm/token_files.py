@@ -9,9 +9,10 @@ reader refuses a file whose dictionary hash differs.
 The dictionary is trained on the ids of at most ``SAMPLE_DOCS`` documents (those with the
 smallest hashes of doc_id and length), ``SAMPLE_IDS`` ids of each.
 
-Texts are encoded by words, cut as in ``byte_bpe``; a worker remembers up to ``KNOWN_WORDS`` of
-them, and the tokenizers library encodes those it does not know. Every document ends with
-``END``. Documents lie in ascending order of doc_id, null first; rows that share a doc_id in
+Texts are cut into pieces where a pre-token certainly ends (``cuts``), so the ids of a text are those
+of its pieces in order. Every distinct piece of a block of documents is looked up once; a worker
+remembers the last ``KNOWN_WORDS`` pieces and up to as many before them, and the tokenizers library
+encodes those it does not know. Every document ends with ``END``. Documents lie in ascending order of doc_id, null first; rows that share a doc_id in
 order of a hash of their text.
 
 Results for odd rows: a null or empty text is the end id alone. Repeated rows are stored each.
@@ -23,20 +24,22 @@ from __future__ import annotations
 import functools
 import hashlib
 import os
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.byte_bpe import words_of
 from starloom.llm.common import blocks, parts, small_batches, table, written
 from starloom.llm.files import create, open_seekable
 from starloom.sources.workspace import new_folder
@@ -46,6 +49,8 @@ END = 0
 MAGIC = b"SLTOKID1"
 SAMPLE_DOCS, SAMPLE_IDS, DICTIONARY_BYTES = 1000, 2048, 64 * 1024
 KNOWN_WORDS = 600_000
+#: Bytes of text that are encoded at a time.
+BLOCK_BYTES = 6_000_000
 FILE_BYTES = 64 * 1024 * 1024
 LEVEL = 3
 _INDEX = np.dtype([("doc_id", "<i8"), ("known", "<u1"), ("n", "<u4"), ("offset", "<u8"), ("size", "<u4")])
@@ -63,24 +68,123 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@functools.cache
+def _added(path: str) -> tuple[bytes, ...]:
+    """Texts that are a token wherever they stand."""
+    return tuple(t.content.encode() for t in tokenizer(path).get_added_tokens_decoder().values())
+
+
+@functools.cache
 def id_type(path: str) -> np.dtype:
     return np.dtype("<u2" if tokenizer(path).get_vocab_size() <= 1 << 16 else "<u4")
 
 
-_known: dict[str, bytes] = {}
+_ASCII = np.arange(256) < 128
+_LETTERS = np.isin(np.arange(256), np.frombuffer(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", np.uint8))
+_SOLID = np.arange(256) > 32
+_MARKS = _ASCII & _SOLID & ~_LETTERS & ~np.isin(np.arange(256), np.frombuffer(b"0123456789'\x7f", np.uint8))
+#: First bytes of the characters beyond ASCII that are blanks, with the second bytes that blanks have.
+_BLANKS = {0xC2: (0x85, 0xA0), 0xE1: (0x9A,), 0xE2: (0x80, 0x81), 0xE3: (0x80,)}
+_ONE = re.compile(r" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
+
+
+def cuts(data: np.ndarray, whole: tuple[bytes, ...] = ()) -> np.ndarray:
+    """Whether a piece starts at each byte of UTF-8 text; ``whole`` texts are not cut.
+
+    Letters are A to Z and those of U+00C0 to U+00FF. Pieces start where a pre-token of the byte-level
+    pattern starts whatever stands around: before a space between two characters that are no blanks,
+    after a single line feed between two, between a letter and another ASCII character, and between an
+    ASCII mark other than an apostrophe and a letter. All else stays together.
+    """
+    letter, solid = _LETTERS[data], _SOLID[data]
+    two = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    letter[:-1] |= two
+    letter[1:] |= two
+    for first, seconds in _BLANKS.items():
+        at = np.flatnonzero(data[:-1] == first)
+        at = at[np.isin(data[at + 1], seconds)]
+        for k in range(3):
+            solid[np.minimum(at + k, len(data) - 1)] = False
+    cut = np.zeros(len(data), bool)
+    cut[1:] = letter[:-1] & (_ASCII & ~_LETTERS)[data[1:]]
+    cut[1:] |= _MARKS[data[:-1]] & letter[1:]
+    between = solid[:-2] & solid[2:]
+    cut[1:-1] |= between & (data[1:-1] == 0x20)
+    cut[2:] |= between & (data[1:-1] == 0x0A)
+    for one in whole:
+        for found in re.finditer(re.escape(one), data):
+            cut[found.start() + 1 : found.end()] = False
+    return cut
 
 
-def encoded(texts: list[str | None], path: str) -> list[bytes]:
+@functools.cache
+def _bytes_shown() -> list[str]:
+    """The character that stands for each byte in the vocabulary of a byte-level BPE."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return [chr(b if b in plain else next(others)) for b in range(256)]
+
+
+@functools.cache
+def _remembered(path: str) -> list[dict[str, bytes]]:
+    """Pieces and their ids: those met lately, and those before them."""
+    return [{}, {}]
+
+
+def _encoded_pieces(pieces: list[str], path: str) -> list[bytes]:
+    """The ids of distinct pieces. One pre-token goes straight to the library's model, all else through its whole way."""
+    kind, known = id_type(path), _remembered(path)
+    if len(known[0]) > KNOWN_WORDS:
+        known[:] = [{}, known[0]]
+    lately, before = known
+    out = list(map(lately.get, pieces))
+    missing = [i for i, ids in enumerate(out) if ids is None]
+    new = []
+    for i in missing:
+        ids = before.get(pieces[i])
+        if ids is None:
+            new.append(i)
+        else:
+            out[i] = lately[pieces[i]] = ids
+    code = kind.char
+    one = [i for i in new if _ONE.fullmatch(pieces[i])]
+    shown, model = _bytes_shown(), tokenizer(path).model
+    for i in one:
+        text = pieces[i].encode().decode("latin-1").translate(shown)
+        out[i] = lately[pieces[i]] = array(code, [t.id for t in model.tokenize(text)]).tobytes()
+    rest = [i for i in new if out[i] is None]
+    ids = tokenizer(path).encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)
+    for i, e in zip(rest, ids, strict=True):
+        out[i] = lately[pieces[i]] = array(code, e.ids).tobytes()
+    return out
+
+
+def encoded(texts: list[str | None] | pa.Array | pa.ChunkedArray, path: str) -> list[bytes]:
     """The ids of each text and the end id, little-endian."""
     kind = id_type(path)
-    cut = [words_of(t or "") for t in texts]
-    if len(_known) > KNOWN_WORDS:
-        _known.clear()
-    new = list({w for words in cut for w in words if w not in _known})
-    for w, e in zip(new, tokenizer(path).encode_batch_fast(new, add_special_tokens=False), strict=True):
-        _known[w] = np.array(e.ids, kind).tobytes()
-    end, ids = np.array([END], kind).tobytes(), _known.__getitem__
-    return [b"".join(map(ids, words)) + end for words in cut]
+    given = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+    given = pc.fill_null(given.combine_chunks() if isinstance(given, pa.ChunkedArray) else given, "")
+    if not len(given):
+        return []
+    _, places, content = given.buffers()
+    ends = np.frombuffer(places, np.int64)[given.offset : given.offset + len(given) + 1]
+    data = np.frombuffer(content or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    cut = cuts(data, _added(path))
+    cut[ends[:-1][ends[:-1] < len(data)]] = True
+    starts = np.flatnonzero(cut)
+    bounds = np.append(starts, len(data)).astype(np.int64)
+    pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(data)).dictionary_encode()
+    ids = [*_encoded_pieces(pieces.dictionary.to_pylist(), path), np.array([END], kind).tobytes()]
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // kind.itemsize
+    upto = np.searchsorted(starts, ends[1:])  # pieces before each text's end, where the end id goes
+    codes = np.insert(pieces.indices.to_numpy().astype(np.int64), upto, len(ids) - 1)
+    n = size[codes]
+    stop = np.cumsum(n)
+    at = np.repeat((np.cumsum(size) - size)[codes] - (stop - n), n) + np.arange(stop[-1])
+    raw = np.frombuffer(b"".join(ids), kind)[at].tobytes()
+    last = (stop[upto + np.arange(len(given))] * kind.itemsize).tolist()
+    return [raw[a:b] for a, b in zip([0, *last], last, strict=False)]
 
 
 def dictionary(docs: DataFrame, path: str) -> bytes:
@@ -91,7 +195,7 @@ def dictionary(docs: DataFrame, path: str) -> bytes:
 
     def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in blocks(batches, "text"):
-            ids = [x[: SAMPLE_IDS * width] for x in encoded(rows.column("text").to_pylist(), path)]
+            ids = [x[: SAMPLE_IDS * width] for x in encoded(rows.column("text"), path)]
             yield pa.record_batch([pa.array(ids, pa.binary())], ["ids"])
 
     given = sorted(bytes(r[0]) for r in sample.mapInArrow(head, "ids binary").collect())
@@ -172,8 +276,8 @@ def write_token_files(docs: DataFrame, folder: str, path: str, file_bytes: int =
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, done, file = TaskContext.get().partitionId(), [], None
-        for rows in blocks(batches, "text"):
-            ids = encoded(rows.column("text").to_pylist(), path)
+        for rows in blocks(batches, "text", BLOCK_BYTES):
+            ids = encoded(rows.column("text"), path)
             for doc_id, own in zip(rows.column("doc_id").to_pylist(), ids, strict=True):
                 if file is None:
                     file = Writer(f"{folder}/ids-{part:06d}-{len(done):04d}-{uuid.uuid4().hex}.tok", held.value, width)

@@ -1,9 +1,11 @@
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
 
+from starloom.llm import token_files
 from starloom.llm.common import table
 from starloom.llm.files import open_seekable
 from starloom.llm.token_files import END, TOKENIZER, Reader, encoded, read_token_files, tokenizer, write_token_files
@@ -52,3 +54,22 @@ def test_odd_rows(spark, odd, none, tmp_path):
 @pytest.mark.parametrize("text", ["", " ", "a  b", "\n a \n\nb ", "a <|endoftext|> b<|endoftext|>", "it's 1 2\u00a0 3\u2003x", "x\x1cy \x1d z"])
 def test_words_encode_like_the_whole_text(text):
     assert np.frombuffer(encoded([text], PATH)[0], "<u2").tolist() == ids_of(text)
+
+
+def test_pieces_encode_like_the_whole_text():
+    bits = ["a", "Z", "\u00e9", "\u00df", "\u00d7", "\u00aa", " ", "  ", "\n", "\n\n", "\t", "\r", ".", "'", "'s", "<|endoftext|>", "<|", "3", "\u0663"]
+    bits += ["\u00a0", "\u0085", "\u2003", "\u2014", "\u3000", "\u4e2d", "\u044f", "\u0301", "\x1c", "\x7f", "\x00", "_", "\U0001f600"]
+    dealt = random.Random(7)
+    texts = ["".join(dealt.choices(bits, k=dealt.randrange(12))) for _ in range(5000)] + [None, ""]
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoded(texts, PATH)] == [ids_of(t) for t in texts]
+
+
+def test_a_word_is_encoded_once_whatever_marks_follow(monkeypatch):
+    monkeypatch.setattr(token_files, "KNOWN_WORDS", 5)
+    token_files._remembered.cache_clear()
+    first = encoded(["The word. A word, the word!\nword (word)"], PATH)
+    lately, _ = token_files._remembered(PATH)
+    assert {" word", "word", " the"} <= set(lately) and not {" word.", " word,", " word!\nword"} & set(lately)
+    encoded(["some other words"], PATH)  # more than are remembered: the pieces move on, used ones come back
+    assert encoded(["The word. A word, the word!\nword (word)"], PATH) == first
+    token_files._remembered.cache_clear()
