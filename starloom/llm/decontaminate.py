@@ -44,7 +44,9 @@ POSTING_BLOCK = 8
 #: Units of one index shard; every shard is one pass over the documents. A shard has at most
 #: ``UNIT`` postings a unit, so its broadcast stays below about 30 MB.
 SHARD_UNITS = 20_000
-CELLS = 1_000_000
+CELLS = 250_000
+#: Bytes of text of one search: its terms, windows and bounds are held together in every Python worker.
+SEARCH_BYTES = 400_000
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
@@ -205,7 +207,7 @@ FOUND = "doc_id bigint, item_id bigint, score double, question_overlap double, a
 
 
 def _search(batches: Iterator[pa.RecordBatch], index: Index, threshold: float) -> Iterator[pa.RecordBatch]:
-    for rows in blocks(batches, "text"):
+    for rows in blocks(batches, "text", SEARCH_BYTES):
         words = Words([t.lower() for t in rows.column("text").to_pylist()], plain=False)
         h = words.hashes
         if not len(h) or not len(index.terms):

@@ -1,8 +1,10 @@
 import random
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
 
+from starloom.llm import common
 from starloom.llm.common import Words, components, with_group
 
 
@@ -44,3 +46,16 @@ def test_words_and_their_hashes():
     assert len(Words([]).hashes) == 0 and len(Words(["", None]).shingles(5)[0]) == 0
     a, owner = Words(["a b c d e f", "x a b c d e"]).shingles(5)
     assert owner.tolist() == [0, 0, 1, 1] and a[0] == a[3] and len(np.unique(a)) == 3
+
+
+def test_hashing_holds_little_and_does_not_depend_on_how_text_is_dealt(monkeypatch):
+    text = " ".join(f"w{i * i % 70001}é" for i in range(250_000))
+    words = Words([text, "", "one two", None, text[:1000]])
+    common._powers(1)
+    tracemalloc.start()
+    whole = words.hashes
+    peak = tracemalloc.get_traced_memory()[1] - whole.nbytes
+    tracemalloc.stop()
+    assert peak < 16e6
+    monkeypatch.setattr(common, "HASHED_CHARS", 1000)
+    assert (Words(words.texts).hashes == whole).all()
