@@ -60,7 +60,7 @@ from starloom.sources.catalog import table_columns
 from starloom.sources.commits import DimensionStore
 from starloom.sources.delimited import read_shards, write_mixed_shards, write_shards
 from starloom.sources.screening import FAULT, FILE, LINE
-from starloom.sources.tables import SchemaMismatch, read_table, spare_sort
+from starloom.sources.tables import SchemaMismatch, even_tasks, read_table, spare_sort
 from starloom.sources.workspace import new_folder
 from starloom.specs import Dimension, Rollup, Source
 
@@ -92,6 +92,7 @@ def delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 
     def fill(folder: str) -> None:
+        even_tasks(spark)
         raw_lines(spark, sf_dir, gather=True).write.mode("overwrite").parquet(folder)
 
     return read_table(spark, _kept(spark, sf_dir, "delivered", fill), LINES.file_schema)

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.sources.tables import spare_sort
+from starloom.sources.tables import even_tasks, spare_sort
 from starloom.specs import Source
 
 
@@ -66,6 +66,7 @@ def write_mixed_shards(rows: DataFrame, source: Source, folder: str, n: int) ->
 
 def _write(rows: DataFrame, source: Source, folder: str, gather: bool = True) -> None:
     spare_sort(rows.sparkSession)
+    even_tasks(rows.sparkSession)
     (
         (rows.hint("rebalance", "shard") if gather else rows)
         .write.format("csv")

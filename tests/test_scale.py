@@ -14,7 +14,7 @@ from starloom.plans import Layout, full_load, open_mart, queries, transform
 from starloom.plans.loads import land
 from starloom.plans.queries import delivered
 from starloom.sources.delimited import write_mixed_shards
-from starloom.sources.tables import only_periods
+from starloom.sources.tables import even_tasks, only_periods
 
 
 @pytest.fixture(scope="module")
@@ -112,3 +112,13 @@ def test_the_widest_dimension_is_joined_last(spark, layout):
     plan = star_view(open_mart(spark, layout, limit=0))._jdf.queryExecution().optimizedPlan().toString()
     joins = [row for row in plan.splitlines() if "Join LeftOuter" in row]
     assert len(joins) == 3 and "supplier_sk" in joins[0]
+
+
+def test_scans_have_several_tasks_a_core(spark, layout):
+    """A task per core leaves most cores waiting for the longest; a session's own settings stay."""
+    assert layout.read_raw(spark).rdd.getNumPartitions() > 2 * spark.sparkContext.defaultParallelism
+    name = "spark.sql.files.minPartitionNum"
+    own = spark.newSession()
+    own.conf.set(name, "1")
+    even_tasks(own)
+    assert own.conf.get(name) == "1" and layout.read_raw(own).rdd.getNumPartitions() < layout.read_raw(spark).rdd.getNumPartitions()
