@@ -120,6 +120,7 @@ def test_sql_on_pages_that_link(spark, tmp_path):
     """The given pages hold relative links only, so the statement is also run on some that do not."""
     hosts = [f"h{i}.{'net' if i % 3 == 0 else 'com' if i == 1 else 'org'}" for i in range(36)]
     rows = [(k, f"http://{hosts[k % 36]}/{('es', 'x', 'fr', 'en')[k % 4]}/{k}", link(hosts[k * 7 % 36], hosts[k * k % 36])) for k in range(150)]
+    rows.append((150, "http://fan.org/", link(hosts[0], hosts[12])))  # of the others only blocked hosts link to blocked ones
     spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{Path(tmp_path)}/pages.parquet/*.parquet'")
